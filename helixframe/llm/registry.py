@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, packing, pii, preferences, tokens, urls
+from . import exact_dedup, jaccard, licenses, packing, pii, preferences, tokens, urls
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
@@ -12,5 +12,6 @@ QUERIES = {
     "op7_preferences": preferences.op7_preferences,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_licenses": licenses.op9_licenses,
+    "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
 ORACLE_SQL = {"op2_url_filters": urls.OP2_SQL, "op8_exact_dedup": exact_dedup.OP8_SQL}
