@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard, licenses, packing, pii, preferences, tokens, urls
+from . import exact_dedup, jaccard, licenses, packing, pii, preferences, quality, tokens, urls
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
     "op2_url_filters": urls.op2_url_filters,
     "op4_packing": packing.op4_packing,
     "op5_pii": pii.op5_pii,
+    "op6_quality": quality.op6_quality,
     "op7_preferences": preferences.op7_preferences,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_licenses": licenses.op9_licenses,

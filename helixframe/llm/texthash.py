@@ -84,6 +84,17 @@ def word_hashes(column: pa.Array, gaps: np.ndarray = SPACE, fold: np.ndarray = F
     return h, np.searchsorted(p, bounds)
 
 
+def shape_hashes(kinds: np.ndarray, bounds: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """Hashes of words spelt in ``kinds`` of characters, a run of one kind within a word taken once."""
+    keep = np.ones(len(kinds), bool)
+    keep[1:] = kinds[1:] != kinds[:-1]
+    first = np.zeros(len(kinds) + 1, bool)
+    first[bounds] = True
+    first = first[:-1]
+    keep |= first
+    return _chunk(kinds[keep], first[keep], gaps, _BYTE)[0]
+
+
 def shingles(words: np.ndarray, bounds: np.ndarray, n: int = 5):
     """Sorted distinct shingle hashes (int64) of each text: runs of ``n`` words, or all of fewer."""
     weights = mix(np.arange(1, n + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
