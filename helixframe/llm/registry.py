@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard, licenses, packing, pii, preferences, quality, tokens, urls
+from . import decontaminate, exact_dedup, jaccard, licenses, packing, pii, preferences, quality, tokens, urls
 
 QUERIES = {
     "op1_token_counts": tokens.op1_token_counts,
     "op2_url_filters": urls.op2_url_filters,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_packing": packing.op4_packing,
     "op5_pii": pii.op5_pii,
     "op6_quality": quality.op6_quality,

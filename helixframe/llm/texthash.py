@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -60,7 +60,7 @@ def word_hashes(column: pa.Array, gaps: np.ndarray = SPACE, fold: np.ndarray = F
     """64-bit hashes of all words (runs of bytes not in ``gaps``), and where each text's words begin.
 
     The second array has one entry more than there are texts. Works through the bytes in chunks
-    of about 1 MB, cut where a text or a word ends.
+    of about CHUNK bytes, cut where a text or a word ends.
     """
     data, bounds = raw(column)
     codes = _BYTE[fold]
