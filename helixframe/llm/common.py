@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handed to a Python worker at once.
 ARROW_BATCH_BYTES = 8 << 20
@@ -70,3 +72,20 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def without(docs: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``docs`` whose ``keys`` aren't in ``dropped``; nulls are equal to each other."""
+    d = dropped.select(*(F.col(k).alias(f"__helix_by_{k}") for k in keys)).distinct()
+    same = reduce(lambda a, b: a & b, [docs[k].eqNullSafe(d[f"__helix_by_{k}"]) for k in keys])
+    return docs.join(d, same, "left_anti")
+
+
+def one_each(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` with one row for each value of ``keys``; only rows that repeat a value move."""
+    repeated = saved(docs.groupBy(*keys).agg(F.count("*").alias("__helix_rows")).where("__helix_rows > 1").drop("__helix_rows"), "repeated")
+    if not repeated.limit(1).count():
+        return docs
+    r = repeated.select(*(F.col(k).alias(f"__helix_by_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, [docs[k].eqNullSafe(r[f"__helix_by_{k}"]) for k in keys])
+    return without(docs, repeated, keys).unionByName(docs.join(r, same, "left_semi").dropDuplicates(keys))

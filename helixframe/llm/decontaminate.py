@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table
+from .common import bounded_batches, saved, table, without
 from .texthash import NOT_ALNUM, mix, word_hashes
 
 #: Hashed terms, columns of the random test matrix, latent dimensions.
@@ -310,5 +310,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, space=None) -> DataFrame:
     return out.withColumn("score", F.col("common_words") / F.col("item_words"))
 
 
+def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold an item; all columns stay."""
+    return without(docs, saved(find_leaks(docs, items).select("doc_id").distinct(), "leaks"), ["doc_id"])
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

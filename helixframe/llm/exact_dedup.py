@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, saved, table
+from .common import drop, one_each, saved, table, without
 
 #: Characters of a block.
 BLOCK = 4096
@@ -109,11 +109,24 @@ def mark_copies(docs: DataFrame) -> DataFrame:
         "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
         "text_sha256",
+        F.col("n").cast("long").alias("n_code_points"),
     )
 
 
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``mark_copies`` drops; all columns stay."""
+    keys = ["doc_id", "__helix_n", "__helix_sha256"]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumns({
+        "__helix_n": F.length(text).cast("long"), "__helix_sha256": F.sha2(F.regexp_replace(text, WHITE, ""), 256)
+    })
+    marks = mark_copies(docs).select("doc_id", F.col("n_code_points").alias("__helix_n"), F.col("text_sha256").alias("__helix_sha256"), "kept")
+    lost = marks.groupBy(*keys).agg(F.max("kept").alias("kept")).where("not kept")
+    return one_each(without(keyed, saved(lost, "lost"), keys), keys).drop("__helix_n", "__helix_sha256")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("n_code_points")
 
 
 OP8_SQL = r"""

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop, saved, table
+from .common import bounded_batches, drop, one_each, saved, table, without
 from .components import components
 from .texthash import mix, shingles, word_hashes
 
@@ -351,5 +351,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each class of near duplicates, the one with the smallest doc_id."""
+    marks = near_duplicates(docs)
+    lost = saved(marks.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "lost")
+    return one_each(without(docs, lost, ["doc_id"]), ["doc_id"])
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -266,8 +266,12 @@ def pack_documents(
     )
 
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pack_with_public_tokenizer(docs: DataFrame) -> DataFrame:
+    """``pack_documents`` with the public byte-level tokenizer of 50,257 ids."""
     import public_tokenizers as p
 
-    docs = table(spark, sf_dir, "documents")
     return pack_documents(docs, p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_with_public_tokenizer(table(spark, sf_dir, "documents"))

@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RA
     return {"idf": idf, "basis": basis, "vectors": _unit(x @ basis), "labels": y}
 
 
-def _score(model, neighbours: int):
+def _score(model, neighbours: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         vectors, labels = m["vectors"], m["labels"]
@@ -152,29 +152,30 @@ def _score(model, neighbours: int):
                 out[i : i + ROWS] = np.where(total > 0, (w * labels[near]).sum(axis=1) / np.maximum(total, 1e-12), prior)
             keep = [i for i, c in enumerate(b.schema.names) if c != "text" or m["texts"]]
             yield pa.RecordBatch.from_arrays(
-                [*(b.columns[i] for i in keep), pa.array(np.clip(out, 0, 1))], [*(b.schema.names[i] for i in keep), "score"]
+                [*(b.columns[i] for i in keep), pa.array(np.clip(out, 0, 1))], [*(b.schema.names[i] for i in keep), name]
             )
 
     return run
 
 
 def score_quality(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, neighbours: int = NEIGHBOURS, keep_text: bool = False
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, neighbours: int = NEIGHBOURS, keep_text: bool = False,
+    name: str = "score",
 ) -> DataFrame:
-    """Every row of ``docs`` with ``score``: how likely label 1 is, from 0 to 1.
+    """Every row of ``docs`` with a score (column ``name``): how likely label 1 is, from 0 to 1.
 
     Each text is projected on the latent space; exact cosines with all labelled vectors, in blocks
     of rows, name its nearest neighbours, whose labels vote with the fourth power of their cosine.
     A text without words (null, empty) and one like no neighbour gets the share of label 1 in the
     sample; without labels every score is 0.5. Only the text goes into a score; other columns of
-    ``docs`` stay as they are (``docs`` mustn't have one named score), ``text`` itself with
+    ``docs`` stay as they are (``docs`` mustn't have one of that name), ``text`` itself with
     ``keep_text``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     model = fit(docs, labels, sample) | {"texts": keep_text}
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text" or keep_text)
-    return docs.mapInArrow(_score(spark.sparkContext.broadcast(model), neighbours), f"{schema}, score double")
+    return docs.mapInArrow(_score(spark.sparkContext.broadcast(model), neighbours, name), f"{schema}, `{name}` double")
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
@@ -184,6 +185,11 @@ def training_labels(labels: DataFrame) -> DataFrame:
     )
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows that score under 0.5; all columns stay."""
+    return score_quality(docs, training_labels(labels), keep_text=True, name="__helix_score").where("__helix_score >= 0.5").drop("__helix_score")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = score_quality(docs, training_labels(table(spark, sf_dir, "labels")))
