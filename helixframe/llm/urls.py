@@ -118,7 +118,8 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url",
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("fetched"),
     )
-    return filter_urls(captures, derived_entries(pages)).withColumnRenamed("capture_id", "page_id")
+    out = filter_urls(captures, derived_entries(pages)).withColumnRenamed("capture_id", "page_id")
+    return out.withColumn("fetched", F.date_format("fetched", "yyyy-MM-dd"))
 
 
 OP2_SQL = r"""
@@ -162,7 +163,7 @@ e AS (
   FROM k LEFT JOIN v ON k.pattern = v.pattern AND v.action IN ('block', 'allow')
        AND k.fetched >= v.since AND (v.until IS NULL OR k.fetched < v.until)
 ), b AS (SELECT * FROM j WHERE rn = 1)
-SELECT c.page_id, c.host, c.fetched, coalesce(b.n_active, 0) AS n_active,
+SELECT c.page_id, c.host, strftime(c.fetched, '%Y-%m-%d') AS fetched, coalesce(b.n_active, 0) AS n_active,
        b.pattern, b.category, b.action, coalesce(b.action = 'block', false) AS blocked
 FROM c JOIN b ON b.page_id = c.page_id
 """
