@@ -16,9 +16,9 @@ from .common import bounded_batches, saved, table
 
 CAPACITY = 2048
 #: Lengths above this share of the capacity are large: they are grouped; the rest is small.
-LARGE = 1 / 8
+LARGE = 0.3
 #: Groups of equal cardinality that large lengths are rounded up within.
-GROUPS = 48
+GROUPS = 32
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
@@ -125,8 +125,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     """Sequences as (lengths in it, how many such sequences), from how often each length occurs.
 
     Large lengths are rounded up to the greatest of their group; configurations of the rounded
-    sizes are chosen by ``configurations``; each slot then takes actual lengths of its group,
-    greatest first, which splits a configuration where the length changes. Room is counted with
+    sizes are chosen by ``configurations``; each slot then takes the greatest actual length that
+    leaves room for the rest, which splits a configuration where a length runs out. Room is counted with
     actual lengths from there on, and all lengths not placed yet, the small ones among them, go
     greatest first into the fullest sequences that take them. All work is on counts by length, at
     most ``capacity`` of them, whatever the number of documents.
@@ -146,26 +146,31 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         tops = np.unique(group)
         sizes = np.array([big[group == g].max() for g in tops])
         demand = np.array([int(count[big[group == g]].sum()) for g in tops])
-        stock = [[[int(n), int(count[n])] for n in big[group == g][::-1]] for g in tops]
+        left = count.copy()  # large lengths not placed yet
+        left[: big[0]] = 0
         for column, m in configurations(sizes, demand, capacity):
-            slots = [g for g in range(len(tops)) for _ in range(int(column[g]))]
+            slots = sorted((int(sizes[g]) for g in range(len(tops)) for _ in range(int(column[g]))), reverse=True)
             while m:
-                # every slot takes its group's greatest length that is left, in runs of equal content
-                need: dict[tuple[int, int], int] = {}
-                picks, at = [], {}
-                for g in slots:
-                    i = at.get(g, 0)
-                    while stock[g][i][1] - need.get((g, i), 0) <= 0:
-                        i += 1
-                    at[g] = i
-                    need[g, i] = need.get((g, i), 0) + 1
-                    picks.append(stock[g][i][0])
-                run = min([m, *(stock[g][i][1] // n for (g, i), n in need.items())])
-                for (g, i), n in need.items():
-                    stock[g][i][1] -= run * n
-                    count[stock[g][i][0]] -= run * n
-                for g in set(slots):
-                    stock[g] = [s for s in stock[g] if s[1]]
+                # each slot takes the greatest length that leaves room for the slots behind it
+                picks: list[int] = []
+                need: dict[int, int] = {}
+                for j in range(len(slots)):
+                    most = capacity - sum(picks) - sum(slots[j + 1 :])
+                    free = left[: most + 1] > 0
+                    for n, k in need.items():
+                        if n <= most:
+                            free[n] = left[n] > k
+                    at = np.flatnonzero(free)
+                    if len(at):
+                        n = int(at[-1])
+                        picks.append(n)
+                        need[n] = need.get(n, 0) + 1
+                if not picks:
+                    break
+                run = min(m, *(int(left[n]) // k for n, k in need.items()))
+                for n, k in need.items():
+                    left[n] -= run * k
+                    count[n] -= run * k
                 templates.append([picks, run])
                 m -= run
     room: list[list[list]] = [[] for _ in range(capacity + 1)]  # open sequences by what they have left
