@@ -142,7 +142,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     if len(big):
         total = int(count[big].sum())
         before = np.cumsum(count[big]) - count[big]
-        group = before * min(groups, len(big)) // total  # equal cardinality, up to ties of a length
+        group = before * groups // total  # equal cardinality, up to ties of a length
+        if len(big) <= groups:  # few lengths need no rounding
+            group = np.arange(len(big))
         tops = np.unique(group)
         sizes = np.array([big[group == g].max() for g in tops])
         demand = np.array([int(count[big[group == g]].sum()) for g in tops])
