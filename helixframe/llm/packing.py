@@ -16,9 +16,9 @@ from .common import bounded_batches, saved, table
 
 CAPACITY = 2048
 #: Lengths above this share of the capacity are large: they are grouped; the rest is small.
-LARGE = 0.3
+LARGE = 0.45
 #: Groups of equal cardinality that large lengths are rounded up within.
-GROUPS = 32
+GROUPS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
