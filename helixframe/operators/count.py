@@ -12,11 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.align import within_distance
-from ..functions.seq import umi_length, within
-
-#: UMIs of one (feature, cell) that are collapsed inside one expression; more go to an indexed fold.
-INLINE = 256
-
+from ..functions.seq import umi_length
 
 @dataclass(frozen=True)
 class CountConfig:
@@ -149,29 +145,6 @@ def keep_pure(counts: DataFrame, purity: float) -> DataFrame:
     return counts.join(totals, "umi").where(F.col("n") / F.col("__all") >= purity).drop("__all")
 
 
-def _inline_fold(umis: Column, config: CountConfig) -> Column:
-    """First-fit fold over UMIs from the most to the least read: the earliest that accepts one absorbs it."""
-    none = F.array().cast("array<struct<umi:string,own:bigint,total:bigint,parts:bigint>>")
-
-    def accept(r: Column, x: Column) -> Column:
-        near = within(r["umi"], x["umi"], config.umi_mismatches, config.hamming)
-        return near & (x["n"] < config.abundance * r["own"]) if config.abundance > 0 else near
-
-    def step(acc: Column, x: Column) -> Column:
-        at = F.array_position(F.transform(acc, lambda r: accept(r, x)), F.lit(True))
-        mine = F.struct(x["umi"].alias("umi"), x["n"].alias("own"), x["n"].alias("total"), F.lit(1).cast("long").alias("parts"))
-        grown = F.transform(
-            acc,
-            lambda r, i: F.when(
-                i == at - 1,
-                F.struct(r["umi"].alias("umi"), r["own"].alias("own"), (r["total"] + x["n"]).alias("total"), (r["parts"] + 1).alias("parts")),
-            ).otherwise(r),
-        )
-        return F.when(at > 0, grown).otherwise(F.concat(acc, F.array(mine)))
-
-    return F.aggregate(umis, none, step)
-
-
 def _variants(umi: str, most: int) -> set[str]:
     """The UMI with up to ``most`` letters left out: near UMIs share one of these."""
     out = {umi}
@@ -182,7 +155,11 @@ def _variants(umi: str, most: int) -> set[str]:
 
 
 def fold(umis: Sequence[tuple[str, int]], config: CountConfig) -> list[list]:
-    """``_inline_fold`` for long lists: acceptors are found through an index of shortened UMIs."""
+    """First-fit fold over UMIs from the most to the least read: the earliest that accepts one absorbs it.
+
+    Gives [UMI, its own reads, reads of all it absorbed, how many UMIs]. Acceptors are found
+    through an index of shortened UMIs, so long lists aren't compared pair by pair.
+    """
     reps: list[list] = []
     index: dict[str, list[int]] = {}
     for umi, n in sorted(umis, key=lambda x: (x[1], x[0]), reverse=True):
@@ -228,18 +205,19 @@ def collapse(counts: DataFrame, config: CountConfig, annotations: int = 0) -> Da
     Per (feature, cell), UMIs go from the most reads to the least (then by greatest UMI); each is
     absorbed by the earliest kept UMI within the allowed distance (and, with ``abundance``, with
     more reads by that factor), else it is kept. n is the reads of both, parts how many UMIs.
+    A group's list is bounded by the number of different UMIs of its length.
     """
     names = [f"a{k}" for k in range(annotations)]
     if config.umi_mismatches <= 0:
         return counts.select("feature", "sc_id", *names, "umi", "n", F.lit(1).cast("long").alias("parts"))
     listed = counts.groupBy("feature", "sc_id").agg(
-        F.sort_array(F.collect_list(F.struct("n", "umi")), asc=False).alias("umis"),
+        F.collect_list(F.struct("n", "umi")).alias("umis"),
         *(F.min_by(a, "first").alias(a) for a in names),
     )
-    small = listed.where(F.size("umis") <= INLINE).withColumn("reps", _inline_fold(F.col("umis"), config)).drop("umis")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in small.schema)
-    large = listed.where(F.size("umis") > INLINE).mapInArrow(_folded(config), schema)
-    both = small.unionByName(large).select("feature", "sc_id", *names, F.explode("reps").alias("r"))
+    kinds = dict(listed.dtypes)
+    rest = [c for c in listed.columns if c != "umis"]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in rest) + ", reps array<struct<umi:string,own:bigint,total:bigint,parts:bigint>>"
+    both = listed.mapInArrow(_folded(config), schema).select("feature", "sc_id", *names, F.explode("reps").alias("r"))
     return both.select("feature", "sc_id", *names, "r.umi", F.col("r.total").alias("n"), "r.parts")
 
 

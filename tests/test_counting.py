@@ -98,13 +98,18 @@ def test_ragged_lines_are_dropped(spark):
 
 @pytest.mark.parametrize("hamming", [False, True])
 @pytest.mark.parametrize("abundance", [0.0, 0.5])
-def test_both_folds_agree(spark, hamming, abundance, monkeypatch):
+@pytest.mark.parametrize("edits", [1, 2])
+def test_the_indexed_fold_is_the_plain_one(hamming, abundance, edits):
     rng = random.Random(3)
-    data = [("f", "s", "".join(rng.choices("ACGT", k=5)), rng.randint(1, 9), i) for i in range(120)]
-    seen = {r[2]: r for r in data}
-    df = spark.createDataFrame(list(seen.values()), "feature string, sc_id string, umi string, n long, first long")
-    cfg = config(hamming=hamming, abundance=abundance)
-    inline = rows(c.collapse(df, cfg).select("umi", "n", "parts"))
-    monkeypatch.setattr(c, "INLINE", 1)
-    assert rows(c.collapse(df, cfg).select("umi", "n", "parts")) == inline
-    assert sum(r[1] for r in inline) == sum(r[3] for r in seen.values())
+    umis = {"".join(rng.choices("ACGT", k=5)): rng.randint(1, 9) for _ in range(150)}
+    cfg = config(hamming=hamming, abundance=abundance, umi_mismatches=edits)
+    plain = []
+    for n, u in sorted(((n, u) for u, n in umis.items()), reverse=True):
+        for r in plain:
+            if c.within_distance(r[0], u, edits, hamming) and (abundance <= 0 or n < abundance * r[1]):
+                r[2] += n
+                r[3] += 1
+                break
+        else:
+            plain.append([u, n, n, 1])
+    assert c.fold(list(umis.items()), cfg) == plain
