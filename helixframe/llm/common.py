@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from functools import reduce
 
@@ -36,13 +37,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it again."""
-    path = new_path(df.sparkSession, name)
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._helix_path = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that have ended, on all executors.
+
+    Spark does so when the driver collects its garbage, which a small driver load may put off for long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop(df: DataFrame) -> None:
     """Delete what ``saved`` wrote, once nothing reads it any more."""
     if path := getattr(df, "_helix_path", None):

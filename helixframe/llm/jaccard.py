@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop, one_each, saved, table, without
+from .common import bounded_batches, drop, one_each, release, saved, table, without
 from .components import components
 from .texthash import mix, shingles, word_hashes
 
@@ -29,7 +29,7 @@ ORDERED = 200_000
 #: A shingle enters the table's counts from so many sets in one block of a task.
 FREQUENT = 4
 BLOCK = 2_000_000
-#: Pairs that a list gives in the first round are those with about so many leaders; times STEP in each next round.
+#: About so many sets of a list lead it in the first round after the one with one leader; times STEP in each next.
 LEADERS, STEP = 8, 8
 #: Bits of the filter that says which sets to fetch.
 MOST_BITS = 1 << 27
@@ -77,12 +77,28 @@ def _identity(s: np.ndarray, salt: int) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """One bit for each of as many hash values as the set has items, up to a power of two."""
+    size = max(512, 1 << max(len(s) - 1, 0).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(s.view(np.uint64) >> np.uint64(20)) % np.uint64(size)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A number of items that the sets of two bitmaps differ in at least."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    n = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(v.reshape(-1, n)) for v in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets(b: pa.RecordBatch):
     return shingles(*word_hashes(b.column("text")), N)
 
 
 def _survey(salt: int):
-    """Rows of two kinds: (doc_id, n, sid, proof) for each document, (h, c) for frequent shingles."""
+    """Rows of two kinds: (doc_id, n, sid, proof, bits) for each document, (h, c) for frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -92,15 +108,16 @@ def _survey(salt: int):
             h, c = h[c >= FREQUENT], c[c >= FREQUENT]
             none = pa.nulls(len(h), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, none.cast(pa.int32()), none, none, pa.array(h), pa.array(c.astype(np.int64))], names
+                [none, none.cast(pa.int32()), none, none, pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(c.astype(np.int64))], names
             )
 
-        names = ["doc_id", "n", "sid", "proof", "h", "c"]
+        names = ["doc_id", "n", "sid", "proof", "bits", "h", "c"]
         for b in batches:
-            n, sid, proof = [], [], []
+            n, sid, proof, bits = [], [], [], []
             for s in _sets(b):
                 i, j = _identity(s, salt)
                 n.append(len(s))
+                bits.append(bitmap(s))
                 sid.append(i)
                 proof.append(j)
                 if i not in seen:
@@ -109,7 +126,7 @@ def _survey(salt: int):
                     size += len(s)
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), none, none],
+                [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), pa.array(bits, pa.binary()), none, none],
                 names,
             )
             if size > BLOCK:
@@ -186,7 +203,7 @@ def _filter_of(ids: DataFrame) -> tuple[np.ndarray, int]:
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size >> 3, np.uint8)
         for b in batches:
-            at = np.unique(_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), size))
+            at = np.unique(_bits(b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), size))
             np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         eight = bits.view(np.int64)
         at = np.flatnonzero(eight)
@@ -221,6 +238,17 @@ def _fetch(bloom, size: int, salt: int):
     return run
 
 
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        n = [b.column(c).to_pylist() for c in ("n_a", "n_b")]
+        keep = [
+            least_difference(x.as_py(), y.as_py()) <= i + j - 2 * least_overlap(i, j)
+            for i, j, x, y in zip(*n, b.column("bits_a"), b.column("bits_b"), strict=True)
+        ]
+        keep = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
@@ -232,62 +260,77 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
 
 
-def _links(lists: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(lists: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
     """(node, root) of sets that link, from ``lists`` (h, sid, n, pos).
 
-    A list of k sets never gives its k * k pairs at once. In each round some sets of every list,
-    picked by a hash of their name, are its leaders and are compared with the list's other sets;
-    leaders of earlier rounds are done with. Pairs already in one component are left out, and a
-    list whose sets all are is dropped. The rounds' leaders grow until lists are exhausted, so
-    every pair either was compared or is in one component by other links.
+    A list of k sets never gives its k * k pairs at once. First each list's sets are compared with
+    one of them, the first by a hash of its name, which is the same set in most lists of a group.
+    In each round after that some sets of every list, picked by the same hash, are its leaders and
+    are compared with the list's other sets; leaders of earlier rounds are done with. Pairs already
+    in one component are left out, and a list whose sets all are is dropped. The rounds' leaders
+    grow until lists are exhausted, so every pair either was compared or is in one component by
+    other links.
     """
     spark = lists.sparkSession
     u = (F.pmod(F.xxhash64("sid"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
     counts = lists.groupBy("h").agg(F.count("*").alias("k"))
     now = saved(lists.join(counts, "h").select("h", "sid", "n", "pos", "k", u), "lists")
-    roots = spark.createDataFrame([], "node long, root long")
-    done, leaders = 0, LEADERS
+    order = F.struct("u", "sid", "n", "pos")
+    star = now.groupBy("h").agg(F.min(order).alias("x")).select("h", *(F.col(f"x.{c}").alias(f"{c}_x") for c in ("u", "sid", "n", "pos")))
+    roots = components(_confirmed(star, now, bitmaps, fetch))
+    release(spark)
+    done, leaders, settled = 0, LEADERS, 2
     while True:
-        lead = now.where((F.col("u") * F.col("k") >= done) & (F.col("u") * F.col("k") < leaders))
-        if done:
-            lead, rest = lead.select("*"), now
-        else:
-            rest = now
-        x = lead.select("h", *(F.col(c).alias(f"{c}_x") for c in lead.columns if c not in ("h", "k")))
-        y = rest.where(F.col("u") * F.col("k") >= done).select(
-            "h", *(F.col(c).alias(f"{c}_y") for c in rest.columns if c not in ("h", "k"))
-        )
-        before = F.struct("u_x", "sid_x") < F.struct("u_y", "sid_y")
-        few, many = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
-        room = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) - 1
-        enough = (F.col("pos_x") < 0) | (room * (DEN + NUM) >= (F.col("n_x") + F.col("n_y")) * NUM)
-        pairs = x.join(y, "h").where(before & (few * DEN >= many * NUM) & enough)
-        if done:
-            pairs = pairs.where("root_x != root_y")
-        pairs = pairs.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
-        found = (
-            pairs.join(sets.select(F.col("sid").alias("a"), F.col("items").alias("items_a")), "a")
-            .join(sets.select(F.col("sid").alias("b"), F.col("items").alias("items_b")), "b")
-            .mapInArrow(_verify, "a long, b long")
-        )
-        known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(found.unionByName(known))
-        left = now.where(F.col("k") > leaders).drop("root")
-        if not left.limit(1).count():
-            drop(now)
-            return roots
-        labelled = left.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
-            "root", F.coalesce("root", "sid")
-        )
+        left = now.where(F.col("k") > settled).drop("root")
+        labelled = left.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         labelled = saved(labelled, "labelled")
+        drop(now)
         open_lists = labelled.groupBy("h").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("h")
-        after = saved(labelled.join(open_lists, "h", "left_semi").select("h", "sid", "n", "pos", "k", "u", "root"), "lists")
+        now = saved(labelled.join(open_lists, "h", "left_semi").select("h", "sid", "n", "pos", "k", "u", "root"), "lists")
         drop(labelled)
-        drop(now)
-        now, done, leaders = after, leaders, leaders * STEP
         if not now.limit(1).count():
             drop(now)
             return roots
+        place = F.col("u") * F.col("k")
+        lead = now.where((place >= done) & (place < leaders)).drop("k")
+        found = _confirmed(lead.select("h", *(F.col(c).alias(f"{c}_x") for c in lead.columns if c != "h")), now.where(place >= done), bitmaps, fetch)
+        known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(found.unionByName(known))
+        release(spark)
+        done, settled, leaders = leaders, leaders, leaders * STEP
+
+
+def _confirmed(leaders: DataFrame, members: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
+    """(a, b) of sets that link, a leader and a member of one list each, compared exactly.
+
+    Pairs go by the order of (u, sid), so that each is looked at from one side. Those that lengths
+    and positions rule out, and those in one component, go; then those whose bitmaps differ in
+    more bits than linking sets can differ in items. Only the sets of the rest are fetched.
+    """
+    y = members.select("h", *(F.col(c).alias(f"{c}_y") for c in members.columns if c not in ("h", "k")))
+    before = F.struct("u_x", "sid_x") < F.struct("u_y", "sid_y")
+    few, many = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
+    room = F.least("pos_x", "pos_y") + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    enough = (F.col("pos_x") < 0) | (room * (DEN + NUM) >= (F.col("n_x") + F.col("n_y")) * NUM)
+    pairs = leaders.join(y, "h").where(before & (few * DEN >= many * NUM) & enough)
+    if "root" in members.columns:
+        pairs = pairs.where("root_x != root_y")
+    pairs = pairs.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
+
+    def with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            names = [F.col(c).alias(side if c == "sid" else f"{c}_{side}") for c in table.columns]
+            pairs = pairs.join(table.select(*names), side)
+        return pairs
+
+    likely = saved(with_both(pairs, bitmaps).mapInArrow(_plausible, "a long, b long"), "pairs")
+    release(pairs.sparkSession)
+    named = likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct()
+    sets = fetch(named)
+    out = saved(with_both(likely, sets).mapInArrow(_verify, "a long, b long"), "links")
+    drop(sets)
+    drop(likely)
+    return out
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -309,7 +352,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for salt in range(8):
         survey = saved(
-            docs.mapInArrow(_survey(salt), "doc_id long, n int, sid long, proof long, h long, c long"), "survey"
+            docs.mapInArrow(_survey(salt), "doc_id long, n int, sid long, proof long, bits binary, h long, c long"), "survey"
         )
         names = survey.where("sid is not null").groupBy("sid").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
         if not names.where("p != q").limit(1).count():
@@ -332,16 +375,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = postings.groupBy("h").agg(F.min("sid").alias("s"), F.max("sid").alias("t")).where("s != t").select("h")
     lists = saved(postings.join(shared, "h", "left_semi"), "postings")
     lists = lists.dropDuplicates(["h", "sid"])
+    release(spark)
 
-    named = lists.select("sid").distinct()
-    first = members.join(named, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    bits, size = _filter_of(first)
-    bloom = spark.sparkContext.broadcast(bits)
-    sets = docs.mapInArrow(_fetch(bloom, size, salt), "sid long, items binary")
-    sets = saved(sets.dropDuplicates(["sid"]), "sets")
+    bits = survey.where("sid is not null").select("sid", "n", "bits").join(lists.select("sid").distinct(), "sid", "left_semi")
+    bitmaps = saved(bits.dropDuplicates(["sid"]), "bitmaps")
 
-    roots = _links(lists, sets)
-    drop(sets)
+    def fetch(named: DataFrame) -> DataFrame:
+        """(sid, items) of the sets in ``named``, worked out anew from one document of each."""
+        first = members.join(named, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        bits, size = _filter_of(first)
+        sets = docs.mapInArrow(_fetch(spark.sparkContext.broadcast(bits), size, salt), "sid long, items binary")
+        return saved(sets.dropDuplicates(["sid"]), "sets")
+
+    roots = _links(lists, bitmaps, fetch)
+    drop(bitmaps)
     placed = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root")
     )
