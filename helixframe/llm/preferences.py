@@ -109,3 +109,34 @@ def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pair_id", F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"), "prompt", "chosen_text", "rejected_text",
         marks("chosen_mask").alias("chosen_mask"), marks("rejected_mask").alias("rejected_mask"), "usable",
     )
+
+
+_RENDER = "array_to_string(list_transform({x}, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '')"
+_BEFORE = "coalesce(list_sum(list_transform({x}[1:i - 1], lambda t: length(t.role) + length(t.text) + 13)), 0)"
+_MARKS = (
+    "array_to_string(list_transform(list_filter(range(1, len({x}) + 1), lambda i: {x}[i].role = 'assistant'), lambda i: "
+    "CAST(" + _BEFORE + " + length({x}[i].role) + 5 AS BIGINT) || ':' || CAST(" + _BEFORE + " + length({x}[i].role) + 13 + length({x}[i].text) AS BIGINT)), ',')"
+)
+OP7_SQL = f"""
+WITH t AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), p AS (
+  SELECT conv_id // 2 AS pair_id, list(ts ORDER BY conv_id) AS c FROM t GROUP BY 1
+), q AS (
+  SELECT pair_id, c[1] AS chosen, len(c[1]) // 2 AS half, CASE WHEN len(c) > 1 THEN c[2] ELSE c[1][1:0] END AS other FROM p
+), r AS (
+  SELECT pair_id, chosen, list_concat(chosen[1:half], other[half + 1:len(other)]) AS rejected FROM q
+), n AS (
+  SELECT *, least(len(chosen), len(rejected)) AS m,
+         list_position(list_transform(range(1, least(len(chosen), len(rejected)) + 1), lambda i: chosen[i] = rejected[i]), false) AS differs FROM r
+), k AS (
+  SELECT pair_id, chosen, rejected, CAST(CASE WHEN coalesce(differs, 0) > 0 THEN differs - 1 ELSE m END AS BIGINT) AS n_prompt_turns FROM n
+), s AS (
+  SELECT pair_id, n_prompt_turns, chosen[1:n_prompt_turns] AS prompt, chosen[n_prompt_turns + 1:len(chosen)] AS a, rejected[n_prompt_turns + 1:len(rejected)] AS b FROM k
+), u AS (
+  SELECT pair_id, n_prompt_turns, {_RENDER.format(x='prompt')} AS prompt, {_RENDER.format(x='a')} AS chosen_text, {_RENDER.format(x='b')} AS rejected_text,
+         {_MARKS.format(x='a')} AS chosen_mask, {_MARKS.format(x='b')} AS rejected_mask FROM s
+)
+SELECT *, chosen_mask != '' AND rejected_mask != '' AS usable FROM u
+"""

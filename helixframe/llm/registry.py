@@ -16,4 +16,8 @@ QUERIES = {
     "op9_licenses": licenses.op9_licenses,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
-ORACLE_SQL = {"op2_url_filters": urls.OP2_SQL, "op8_exact_dedup": exact_dedup.OP8_SQL}
+ORACLE_SQL = {
+    "op2_url_filters": urls.OP2_SQL,
+    "op7_preferences": preferences.OP7_SQL,
+    "op8_exact_dedup": exact_dedup.OP8_SQL,
+}
