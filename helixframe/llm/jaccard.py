@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -33,6 +33,8 @@ BLOCK = 2_000_000
 LEADERS, STEP = 8, 8
 #: Bits of the filter that says which sets to fetch.
 MOST_BITS = 1 << 27
+#: Longs of the short bitmap that lists carry; the long one has at least twice as many bits.
+WORDS = 8
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -79,7 +81,7 @@ def _identity(s: np.ndarray, salt: int) -> tuple[int, int]:
 
 def bitmap(s: np.ndarray) -> bytes:
     """One bit for each of as many hash values as the set has items, up to a power of two."""
-    size = max(512, 1 << max(len(s) - 1, 0).bit_length())
+    size = max(64 * WORDS * 2, 1 << max(len(s) - 1, 0).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(s.view(np.uint64) >> np.uint64(20)) % np.uint64(size)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -98,7 +100,7 @@ def _sets(b: pa.RecordBatch):
 
 
 def _survey(salt: int):
-    """Rows of two kinds: (doc_id, n, sid, proof, bits) for each document, (h, c) for frequent shingles."""
+    """Rows of two kinds: (doc_id, n, sid, proof, bits, words) for each document, (h, c) for frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -108,16 +110,18 @@ def _survey(salt: int):
             h, c = h[c >= FREQUENT], c[c >= FREQUENT]
             none = pa.nulls(len(h), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, none.cast(pa.int32()), none, none, pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(c.astype(np.int64))], names
+                [none, none.cast(pa.int32()), none, none, pa.nulls(len(h), pa.binary()), pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c.astype(np.int64))], names
             )
 
-        names = ["doc_id", "n", "sid", "proof", "bits", "h", "c"]
+        names = ["doc_id", "n", "sid", "proof", "bits", "words", "h", "c"]
         for b in batches:
-            n, sid, proof, bits = [], [], [], []
+            n, sid, proof, bits, words = [], [], [], [], []
             for s in _sets(b):
                 i, j = _identity(s, salt)
                 n.append(len(s))
                 bits.append(bitmap(s))
+                short = np.bitwise_or.reduce(np.frombuffer(bits[-1], np.int64).reshape(-1, WORDS))
+                words.append(short.tolist())
                 sid.append(i)
                 proof.append(j)
                 if i not in seen:
@@ -126,7 +130,7 @@ def _survey(salt: int):
                     size += len(s)
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), pa.array(bits, pa.binary()), none, none],
+                [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64())), none, none],
                 names,
             )
             if size > BLOCK:
@@ -274,9 +278,12 @@ def _links(lists: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
     spark = lists.sparkSession
     u = (F.pmod(F.xxhash64("sid"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
     counts = lists.groupBy("h").agg(F.count("*").alias("k"))
-    now = saved(lists.join(counts, "h").select("h", "sid", "n", "pos", "k", u), "lists")
-    order = F.struct("u", "sid", "n", "pos")
-    star = now.groupBy("h").agg(F.min(order).alias("x")).select("h", *(F.col(f"x.{c}").alias(f"{c}_x") for c in ("u", "sid", "n", "pos")))
+    words = [f"w{i}" for i in range(WORDS)]
+    short = bitmaps.select("sid", *(F.col("words")[i].alias(w) for i, w in enumerate(words)))
+    now = saved(lists.join(counts, "h").join(short, "sid").select("h", "sid", "n", "pos", "k", u, *words), "lists")
+    bitmaps = bitmaps.drop("words")
+    own = ["u", "sid", "n", "pos", *words]
+    star = now.groupBy("h").agg(F.min(F.struct(*own)).alias("x")).select("h", *(F.col(f"x.{c}").alias(f"{c}_x") for c in own))
     roots = components(_confirmed(star, now, bitmaps, fetch))
     release(spark)
     done, leaders, settled = 0, LEADERS, 2
@@ -286,7 +293,7 @@ def _links(lists: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
         labelled = saved(labelled, "labelled")
         drop(now)
         open_lists = labelled.groupBy("h").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("h")
-        now = saved(labelled.join(open_lists, "h", "left_semi").select("h", "sid", "n", "pos", "k", "u", "root"), "lists")
+        now = saved(labelled.join(open_lists, "h", "left_semi").select("h", "k", *own, "root"), "lists")
         drop(labelled)
         if not now.limit(1).count():
             drop(now)
@@ -304,15 +311,18 @@ def _confirmed(leaders: DataFrame, members: DataFrame, bitmaps: DataFrame, fetch
     """(a, b) of sets that link, a leader and a member of one list each, compared exactly.
 
     Pairs go by the order of (u, sid), so that each is looked at from one side. Those that lengths
-    and positions rule out, and those in one component, go; then those whose bitmaps differ in
-    more bits than linking sets can differ in items. Only the sets of the rest are fetched.
+    and positions rule out, those in one component, and those whose short bitmaps differ in more
+    bits than linking sets can differ in items, never become rows; long bitmaps rule out more. Only the sets of the rest are fetched.
     """
     y = members.select("h", *(F.col(c).alias(f"{c}_y") for c in members.columns if c not in ("h", "k")))
     before = F.struct("u_x", "sid_x") < F.struct("u_y", "sid_y")
     few, many = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
     room = F.least("pos_x", "pos_y") + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
     enough = (F.col("pos_x") < 0) | (room * (DEN + NUM) >= (F.col("n_x") + F.col("n_y")) * NUM)
-    pairs = leaders.join(y, "h").where(before & (few * DEN >= many * NUM) & enough)
+    both = F.col("n_x") + F.col("n_y")
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"w{i}_x").bitwiseXOR(F.col(f"w{i}_y"))) for i in range(WORDS)])
+    near = differ <= both - 2 * F.ceil(both * NUM / (DEN + NUM))
+    pairs = leaders.join(y, "h").where(before & (few * DEN >= many * NUM) & enough & near)
     if "root" in members.columns:
         pairs = pairs.where("root_x != root_y")
     pairs = pairs.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
@@ -352,7 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for salt in range(8):
         survey = saved(
-            docs.mapInArrow(_survey(salt), "doc_id long, n int, sid long, proof long, bits binary, h long, c long"), "survey"
+            docs.mapInArrow(_survey(salt), "doc_id long, n int, sid long, proof long, bits binary, words array<long>, h long, c long"), "survey"
         )
         names = survey.where("sid is not null").groupBy("sid").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
         if not names.where("p != q").limit(1).count():
@@ -377,7 +387,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lists = lists.dropDuplicates(["h", "sid"])
     release(spark)
 
-    bits = survey.where("sid is not null").select("sid", "n", "bits").join(lists.select("sid").distinct(), "sid", "left_semi")
+    bits = survey.where("sid is not null").select("sid", "n", "bits", "words").join(lists.select("sid").distinct(), "sid", "left_semi")
     bitmaps = saved(bits.dropDuplicates(["sid"]), "bitmaps")
 
     def fetch(named: DataFrame) -> DataFrame:
