@@ -1,7 +1,8 @@
-"""Benchmark decontamination by latent semantic retrieval."""
+"""Benchmark decontamination by an exact search for answer words and common subsequences."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,167 +13,104 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, saved, table, without
 from .texthash import NOT_ALNUM, mix, word_hashes
 
-#: Hashed terms, columns of the random test matrix, latent dimensions.
-TERMS, SKETCH, RANK = 1 << 14, 40, 32
-#: Words of a passage that the space is fitted on.
+#: Hashed terms that rarity is counted by.
+TERMS = 1 << 14
+#: Words of a passage that a term is counted once in.
 PASSAGE = 256
-#: Words from one search window to the next, and of a window (a multiple).
-STEP, WINDOW = 4, 12
-#: Items of fewer words than this may hold no whole window at one of STEP offsets.
-SHORT = WINDOW + STEP - 1
-#: Random hyperplanes of one table, a multiple of 16, and tables.
-BITS, TABLES = 16, 8
-#: Least cosine of a candidate; least share of equal words in its window.
-COSINE, EQUAL = 0.85, 0.5
+#: Items of fewer words than this are found where all their words stand in a row.
+SHORT = 15
 #: Least share of an item's words that the longest common subsequence holds.
 COMMON = 0.65
 #: Of an item's rarest words (its answer words), so many at most, and the least share a passage must hold.
 ANSWER, ANSWERED = 5, 0.6
 #: Words of all items that one pass over the documents searches for.
 ITEM_WORDS = 400_000
-#: Words worked on at once.
+#: Words, or places of answer words, worked on at once.
 SLICE = 1 << 15
+#: Bits of a word's hash that most words are told apart from answer words by.
+SIEVE = 20
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per term: passages with it, and its row of A'(A W), A counting terms by passage.
-
-    W has one sign in each row, in a column given by the term's hash, so that A W is one count.
-    """
-    column, sign = _test_matrix()
-    out, df, total = np.zeros((TERMS, SKETCH)), np.zeros(TERMS, np.int64), 0
+    """Per term: passages with it."""
+    df = np.zeros(TERMS, np.int64)
     for b in batches:
         words, bounds = word_hashes(b.column("text"), NOT_ALNUM)
-        terms = (words % np.uint64(TERMS)).astype(np.uint16)
-        size = np.diff(bounds)
-        inside = np.arange(len(terms)) - np.repeat(bounds[:-1], size)
-        start = inside % PASSAGE == 0
-        passage = np.cumsum(start) - 1
+        terms = (words % np.uint64(TERMS)).astype(np.int64)
+        inside = np.arange(len(terms)) - np.repeat(bounds[:-1], np.diff(bounds))
+        passage = np.cumsum(inside % PASSAGE == 0) - 1
         lo = 0
         while lo < len(terms):
             hi = lo + SLICE
             if hi < len(terms):  # to the end of a passage
                 hi = lo + int(np.searchsorted(passage[lo:], passage[hi]))
             hi = min(hi, len(terms))
-            t, p = terms[lo:hi], passage[lo:hi] - passage[lo]
-            n = int(p[-1]) + 1
-            y = np.bincount(p * SKETCH + column[t], weights=sign[t], minlength=n * SKETCH).reshape(n, SKETCH)
-            order = np.argsort(t, kind="stable")
-            t, p = t[order], p[order]
-            new = np.append(True, (t[1:] != t[:-1]) | (p[1:] != p[:-1]))
-            at = np.flatnonzero(new)
-            times = np.diff(at, append=len(t))
-            t, p = t[at], p[at]
-            rows = y[p]
-            rows[times > 1] *= times[times > 1, None]
-            first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-            out[t[first]] += np.add.reduceat(rows, first, axis=0)
-            df += np.bincount(t, minlength=TERMS)
-            total += n
+            df += np.bincount(np.unique((passage[lo:hi] - passage[lo]) * TERMS + terms[lo:hi]) % TERMS, minlength=TERMS)
             lo = hi
     seen = np.flatnonzero(df)
-    rows = pa.FixedSizeListArray.from_arrays(pa.array(out[seen].astype(np.float32).ravel()), SKETCH).cast(
-        pa.list_(pa.float32())
-    )
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen]), rows], ["term", "df", "row"])
-    none = pa.array([[0.0] * SKETCH], pa.list_(pa.float32()))
-    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([total]), none], ["term", "df", "row"])
-
-
-def _test_matrix() -> tuple[np.ndarray, np.ndarray]:
-    h = mix(np.arange(TERMS, dtype=np.uint64) + np.uint64(77))
-    return (h % np.uint64(SKETCH)).astype(np.int64), np.where(h >> np.uint64(40) & np.uint64(1), 1.0, -1.0)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], ["term", "df"])
 
 
-def fit_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Inverse frequencies of terms, and each term's place in the latent space.
-
-    One pass over all texts: a randomised SVD of the passages' TF-IDF matrix D = A I from the
-    sketch Y = A'(A W). With the test matrix W / I, D'D (W / I) is I Y, from which the Nystroem
-    form of D'D gives singular vectors and values. Places are divided by the singular values, so
-    that a passage's place is its row of the left singular vectors. Tasks send TERMS rows at most,
-    whatever they read; the sums are of fixed size and go to the driver.
-    """
-    rows = docs.select("text").mapInArrow(_passages, "term long, df long, row array<float>")
-    cells = [F.sum(F.col("row")[j].cast("double")).alias(f"c{j}") for j in range(SKETCH)]
-    got = rows.groupBy("term").agg(F.sum("df").alias("df"), *cells).toArrow()
-    term = got.column("term").to_numpy()
-    df, y = np.zeros(TERMS), np.zeros((TERMS, SKETCH))
-    real = term >= 0
-    total = float(got.column("df").to_numpy()[~real].sum())
-    df[term[real]] = got.column("df").to_numpy()[real]
-    y[term[real]] = np.stack([got.column(f"c{j}").to_numpy()[real] for j in range(SKETCH)], axis=1)
-    idf = np.log((1 + total) / (1 + df))
-    column, sign = _test_matrix()
-    core = np.zeros((SKETCH, SKETCH))
-    np.add.at(core, column, sign[:, None] * y)
-    w, v = np.linalg.eigh((core + core.T) / 2)
-    w = np.maximum(w, max(w.max(), 1e-9) * 1e-9)
-    u, s, _ = np.linalg.svd((idf[:, None] * y) @ (v / np.sqrt(w)), full_matrices=False)
-    s = np.maximum(s[:RANK], max(s[0], 1e-9) * 1e-3)
-    return idf, (idf[:, None] * u[:, :RANK] / s).astype(np.float32)
-
-
-def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+def passage_counts(docs: DataFrame) -> np.ndarray:
+    """Passages that hold each term. Tasks send TERMS rows at most; the sums go to the driver."""
+    got = docs.select("text").mapInArrow(_passages, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(TERMS, np.int64)
+    df[got.column("term").to_numpy()] = got.column("df").to_numpy()
+    return df
 
 
-def longest_common(x: list[int], y: list[int]) -> int:
-    """Length of the longest common subsequence, a word of ``x`` a bit."""
+def _places(x: list[int]) -> dict[int, int]:
+    """Per word: the places it has in ``x``, a bit each."""
     where: dict[int, int] = {}
     for i, w in enumerate(x):
         where[w] = where.get(w, 0) | 1 << i
-    full = (1 << len(x)) - 1
+    return where
+
+
+def _common(n: int, masks: list[int]) -> int:
+    """Length of the longest common subsequence of a text of ``n`` words and words given by their places in it."""
+    full = (1 << n) - 1
     row = full
-    for w in y:
-        m = row & where.get(w, 0)
+    for mask in masks:
+        m = row & mask
         row = ((row + m) | (row - m)) & full
-    return len(x) - row.bit_count()
+    return n - row.bit_count()
+
+
+def longest_common(x: list[int], y: list[int]) -> int:
+    """Length of the longest common subsequence, a word of ``x`` a bit."""
+    where = _places(x)
+    return _common(len(x), [where[w] for w in y if w in where])
 
 
-def _queries(items: list[tuple[int, np.ndarray]], idf: np.ndarray, space: np.ndarray) -> dict:
-    """What is searched for: windows of the items and their buckets, short items, answer words."""
-    rng = np.random.default_rng(11)
-    planes = rng.standard_normal((RANK, BITS * TABLES)).astype(np.float32)
-    vectors, owner, offset = [], [], []
+def _queries(items: list[tuple[int, np.ndarray]], df: np.ndarray) -> dict:
+    """What is searched for: items by their answer words, and short items by all their words."""
     short: dict[int, tuple[list[int], list[int]]] = {}
+    by_word: dict[int, list[int]] = {}
     answers = []
     for k, (_, words) in enumerate(items):
-        terms = (words % np.uint64(TERMS)).astype(np.int64)
         n = len(words)
-        rare = np.argsort(-idf[terms], kind="stable")
+        rare = np.argsort(df[(words % np.uint64(TERMS)).astype(np.int64)], kind="stable")
         answers.append({int(words[i]) for i in rare[:ANSWER]})
         if n < SHORT:
-            if n:
-                keys, own = short.setdefault(n, ([], []))
-                keys.append(_gram(words, n)[0])
-                own.append(k)
-            continue
-        last = n - WINDOW
-        middle = max(0, last // 2 - STEP // 2)
-        # a copy holds a window of the grid at one of any STEP offsets in a row: at its start, middle and end
-        for o in sorted({*range(STEP), *range(middle, middle + STEP), *range(last - STEP + 1, last + 1)}):
-            vectors.append(space[terms[o : o + WINDOW]].sum(axis=0))
-            owner.append(k)
-            offset.append(o)
-    v = _unit(np.array(vectors, np.float32).reshape(-1, RANK))
-    keys = _keys(v, planes)
-    buckets = []
-    for j in range(TABLES):
-        order = np.argsort(keys[:, j], kind="stable")
-        starts = np.searchsorted(keys[order, j], np.arange((1 << BITS) + 1)).astype(np.int32)
-        buckets.append((order.astype(np.int32), starts))
+            keys, own = short.setdefault(n, ([], []))
+            keys.append(_gram(words, n)[0])
+            own.append(k)
+        else:
+            for w in answers[k]:
+                by_word.setdefault(w, []).append(k)
+    known = np.array(sorted(by_word), np.uint64)
+    lists = [by_word[w] for w in known.tolist()]
+    sizes = np.array([len(w) for _, w in items], np.int64)
     return {
-        "ids": [i for i, _ in items], "words": [w for _, w in items], "vectors": v, "owner": np.array(owner, np.int64),
-        "offset": np.array(offset, np.int64), "planes": planes, "buckets": buckets, "space": space, "answers": answers,
+        "ids": [i for i, _ in items], "words": [w for _, w in items], "answers": answers, "known": known,
+        "owners": np.array([k for own in lists for k in own], np.int64), "starts": np.cumsum([0, *map(len, lists)]),
+        "span": sizes + 2 * (sizes // 4 + 1),  # an item's words, and room on both sides for words that were put in
+        "held": np.array([math.ceil(ANSWERED * len(a) - 1e-9) for a in answers], np.int64),
         "short": {n: (np.array(sorted(set(keys)), np.uint64), list(zip(keys, own, strict=True))) for n, (keys, own) in short.items()},
     }
 
 
-def _keys(v: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    return np.packbits(v @ planes > 0, axis=1).view(np.uint16)
-
-
 def _gram(words: np.ndarray, n: int) -> np.ndarray:
     many = len(words) - n + 1
     h = np.zeros(max(many, 0), np.uint64)
@@ -181,66 +119,112 @@ def _gram(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def _windows(terms: np.ndarray, q: dict, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates (window number, query) among the windows that begin in steps lo to hi."""
-    per = WINDOW // STEP
-    part = terms[lo * STEP : (hi + per - 1) * STEP]
-    steps = q["space"][part].reshape(-1, STEP, RANK).sum(axis=1)
-    n = len(steps) - per + 1
-    z = _unit(sum(steps[j : j + n] for j in range(per)))
-    keys = _keys(z, q["planes"])
-    found = []
-    for j, (order, starts) in enumerate(q["buckets"]):
-        k = keys[:, j].astype(np.int64)
-        many = starts[k + 1] - starts[k]
-        at = np.flatnonzero(many)
-        many = many[at]
-        begin = np.repeat(starts[k[at]], many)
-        place = np.arange(len(begin)) - np.repeat(np.cumsum(many) - many, many)
-        win, query = np.repeat(at, many), order[begin + place]
-        for a in range(0, len(win), SLICE):  # cosines of a bounded number of pairs at once
-            w, x = win[a : a + SLICE], query[a : a + SLICE]
-            near = np.einsum("ij,ij->i", z[w], q["vectors"][x]) >= COSINE
-            found.append((w[near] << 32) | x[near])
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return (pairs >> 32) + lo, pairs & 0xFFFFFFFF
+def _candidates(words: np.ndarray, bounds: np.ndarray, q: dict, sieve: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
+    """(document, item, places of its answer words) where a span may hold enough of them."""
+    at = np.flatnonzero(sieve[(words & np.uint64((1 << SIEVE) - 1)).astype(np.int64)])
+    which = np.minimum(np.searchsorted(q["known"], words[at]), len(q["known"]) - 1)
+    ok = q["known"][which] == words[at]
+    at, which = at[ok], which[ok]
+    doc = np.searchsorted(bounds, at, side="right") - 1
+    many = q["starts"][which + 1] - q["starts"][which]
+    total = np.cumsum(many)
+    lo = 0
+    while lo < len(at):  # whole documents, of a bounded number of places unless one has more
+        hi = int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, side="right"))
+        if hi < len(at):
+            start = int(np.searchsorted(doc, doc[hi]))
+            hi = start if start > lo else int(np.searchsorted(doc, doc[lo], side="right"))
+        m = many[lo:hi]
+        nth = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        item = q["owners"][np.repeat(q["starts"][which[lo:hi]], m) + nth]
+        place, d = np.repeat(at[lo:hi], m), np.repeat(doc[lo:hi], m)
+        order = np.lexsort((place, item, d))
+        item, place, d = item[order], place[order], d[order]
+        first = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (item[1:] != item[:-1])))
+        end = np.repeat(np.append(first[1:], len(d)), np.diff(first, append=len(d)))
+        last = np.arange(len(d)) + q["held"][item] - 1
+        near = (last < end) & (place[np.minimum(last, len(d) - 1)] - place < q["span"][item])
+        for a in first[np.logical_or.reduceat(near, first)].tolist():
+            yield int(d[a]), int(item[a]), place[a : end[a]].tolist()
+        lo = hi
+
+
+def _ranges(words: np.ndarray, places: list[int], held: int, span: int) -> list[list[int]]:
+    """First and last places where spans with ``held`` different answer words begin, apart from each other."""
+    out: list[list[int]] = []
+    inside: dict[int, int] = {}
+    j = 0
+    for at in places:
+        while j < len(places) and len(inside) < held:
+            w = int(words[places[j]])
+            inside[w] = inside.get(w, 0) + 1
+            j += 1
+        if len(inside) < held:
+            break
+        if places[j - 1] - at < span:
+            if out and places[j - 1] - span + 1 <= out[-1][1] + 1:
+                out[-1][1] = at
+            else:
+                out.append([places[j - 1] - span + 1, at])
+        w = int(words[at])
+        inside[w] -= 1
+        if not inside[w]:
+            del inside[w]
+    return out
+
+
+def _best(words: np.ndarray, lo: int, hi: int, places: list[int], k: int, q: dict, where: dict[int, int]) -> tuple[int, float] | None:
+    """Greatest (common words, share of answer words) of the spans of a document, words lo to hi, that hold item k.
+
+    Every span that begins at a word of the item is tried, but those that can't reach the best so
+    far: from one span to a later one the common words grow by the item's words that come in at most.
+    """
+    n, span, answers = len(q["words"][k]), int(q["span"][k]), q["answers"][k]
+    best: tuple[int, float] | None = None
+    least = math.ceil(COMMON * n - 1e-9)
+    for first, last in _ranges(words, places, int(q["held"][k]), span):
+        first = max(first, lo)
+        text = words[first : min(hi, last + span)].tolist()
+        at = [i for i, w in enumerate(text) if w in where]
+        masks = [where[text[i]] for i in at]
+        i = end = 0
+        while i < len(at) and at[i] <= last - first:
+            while end < len(at) and at[end] < at[i] + span:
+                end += 1
+            common = _common(n, masks[i:end]) if end - i >= least else end - i
+            if common >= least:
+                held = len(answers.intersection(text[at[i] : at[i] + span])) / len(answers)
+                if held >= ANSWERED and (best is None or (common, held) > best):
+                    best, least = (common, held), common
+                    if best == (n, 1.0):
+                        return best
+                i += 1
+                continue
+            to = end + least - common
+            if to > len(at):
+                break
+            i += 1
+            while at[i] + span <= at[to - 1]:
+                i += 1
+    return best
 
 
 def _search(query):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = query.value
         lengths = np.array([len(w) for w in q["words"]], np.int64)
-        padded = np.zeros((len(q["owner"]), WINDOW), np.uint64)
-        for i, (k, o) in enumerate(zip(q["owner"].tolist(), q["offset"].tolist(), strict=True)):
-            padded[i] = q["words"][k][o : o + WINDOW]
-        lists = [w.tolist() for w in q["words"]]
+        wheres: dict[int, dict[int, int]] = {}
+        sieve = np.zeros(1 << SIEVE, bool)
+        sieve[(q["known"] & np.uint64((1 << SIEVE) - 1)).astype(np.int64)] = True
         for b in batches:
             words, bounds = word_hashes(b.column("text"), NOT_ALNUM)
-            terms = (words % np.uint64(TERMS)).astype(np.int64)
             best: dict[tuple[int, int], tuple[int, float]] = {}
-            steps = len(terms) // STEP - WINDOW // STEP + 1
-            tried = set()
-            for lo in range(0, max(steps, 0) if len(q["owner"]) else 0, SLICE // STEP):
-                win, x = _windows(terms, q, lo, min(steps, lo + SLICE // STEP))
-                place = win * STEP
-                doc = np.searchsorted(bounds, place, side="right") - 1
-                ok = bounds[doc + 1] >= place + WINDOW
-                place, x, doc = place[ok], x[ok], doc[ok]
-                same = np.zeros(len(place), np.int64)
-                for j in range(WINDOW):
-                    same += words[place + j] == padded[x, j]
-                ok = same >= EQUAL * WINDOW
-                for d, k, at in zip(doc[ok].tolist(), q["owner"][x[ok]].tolist(), (place[ok] - q["offset"][x[ok]]).tolist(), strict=True):
-                    if (d, k, at) in tried:
-                        continue
-                    tried.add((d, k, at))
-                    n = int(lengths[k])
-                    room = n // 4 + 1  # for words that were put in
-                    text = words[max(int(bounds[d]), at - room) : min(int(bounds[d + 1]), at + n + room)].tolist()
-                    common = longest_common(lists[k], text)
-                    held = len(q["answers"][k] & set(text)) / len(q["answers"][k])
-                    if common >= COMMON * n and held >= ANSWERED and (common, held) > best.get((d, k), (0, 0.0)):
-                        best[d, k] = common, held
+            for d, k, places in _candidates(words, bounds, q, sieve) if len(q["known"]) else ():
+                if k not in wheres:
+                    wheres[k] = _places(q["words"][k].tolist())
+                got = _best(words, int(bounds[d]), int(bounds[d + 1]), places, k, q, wheres[k])
+                if got:
+                    best[d, k] = got
             for n, (keys, own) in q["short"].items():
                 grams = _gram(words, n)
                 for at in np.flatnonzero(np.isin(grams, keys)).tolist():
@@ -268,32 +252,33 @@ def _search(query):
 FOUND = "doc_id long, item_id long, common_words long, item_words long, answer_share double"
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, space=None) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, common_words, item_words, answer_share, score): documents that hold an item.
 
-    Texts are runs of letters and digits, A to Z lower-cased. Windows of every whole document are
-    placed in the latent space of ``fit_space`` and searched for the items' windows by cosine,
-    through tables of hyperplane hashes whose hits are compared exactly. A candidate passage holds
-    the item when its longest common subsequence of words has ``COMMON`` of the item's words
-    (score is that share) and ``ANSWERED`` of the item's rarest words stand in it. Items too short
-    for a window at every offset are found where all their words stand in a row.
+    Texts are runs of letters and digits, A to Z lower-cased. A passage has as many words as the
+    item and half of that (and two) more, for words that were put in. It holds the item when its
+    longest common subsequence of words has ``COMMON`` of the item's words (score is that share)
+    and ``ANSWERED`` of the item's rarest words stand in it. All passages that do are found: those
+    with enough of the rarest words come from an index on these words, whatever else they hold,
+    and the greatest common subsequence of them counts. Items of under ``SHORT`` words are found
+    where all their words stand in a row.
 
     One row per row of ``docs`` and item. Null or empty texts hold nothing; null or empty items
     are in nothing. Items are searched for in blocks of ITEM_WORDS words, a pass over the
     documents each, so what is broadcast is bounded however many there are. No shuffle but the
-    one of the space's fixed-size sums.
+    one of the terms' fixed-size sums.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    idf, places = fit_space(docs) if space is None else space
+    counts = passage_counts(docs)
     out = None
     block: list[tuple[int, np.ndarray]] = []
     size = 0
 
     def flush() -> None:
         nonlocal out, block, size
-        found = docs.mapInArrow(_search(spark.sparkContext.broadcast(_queries(block, idf, places))), FOUND)
+        found = docs.mapInArrow(_search(spark.sparkContext.broadcast(_queries(block, counts))), FOUND)
         out = found if out is None else out.unionByName(found)
         block, size = [], 0
 

@@ -86,3 +86,34 @@ def test_items_in_several_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(k, prose(1, 20) + " " + t) for k, t in items], "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in d.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert {(k, k) for k, _ in items} <= got
+
+
+def test_every_passage_that_holds_an_item_is_found(spark):
+    """All that brute force over every passage finds, with its greatest score, and nothing else."""
+    rng = random.Random(8)
+    items = [(k, " ".join(f"{w}{rng.randrange(20)}" for w in prose(40 + k, 15 + k).split())) for k in range(30)]
+    docs = []
+    for k, text in items:
+        for share in (0.2, 0.25, 0.3, 0.35):  # of the words changed, dropped or joined by others
+            w = [y for x in text.split() for y in ([x] if rng.random() > share else rng.choice(([f"new{rng.random()}"], [], [x, "more"])))]
+            docs.append((len(docs), " ".join([prose(len(docs), rng.randrange(90)), *w, prose(500 + len(docs), 40)])))
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    counts = d.passage_counts(docs_df)
+    hashed = lambda t: d.word_hashes(d.pa.array([t]), d.NOT_ALNUM)[0]
+    want = {}
+    for j, q in items:
+        v = hashed(q)
+        n, span = len(v), len(v) + 2 * (len(v) // 4 + 1)
+        rare = {int(v[i]) for i in d.np.argsort(counts[(v % d.np.uint64(d.TERMS)).astype(int)], kind="stable")[: d.ANSWER]}
+        for i, t in docs:
+            w = hashed(t).tolist()
+            for at in range(len(w)):
+                part = w[at : at + span]
+                held = len(rare & set(part)) / len(rare)
+                if held >= d.ANSWERED:
+                    got = d.longest_common(v.tolist(), part), held
+                    if got[0] >= d.COMMON * n and got > want.get((i, j), (0, 0)):
+                        want[i, j] = got
+    got = d.find_leaks(docs_df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.common_words, r.answer_share) for r in got} == want
+    assert 60 < len(want) < len(docs)
