@@ -17,12 +17,12 @@ from .texthash import NOT_ALNUM, mix, word_hashes
 TERMS = 1 << 14
 #: Words of a passage that a term is counted once in.
 PASSAGE = 256
-#: Items of fewer words than this are found where all their words stand in a row.
-SHORT = 15
 #: Least share of an item's words that the longest common subsequence holds.
 COMMON = 0.65
 #: Of an item's rarest words (its answer words), so many at most, and the least share a passage must hold.
 ANSWER, ANSWERED = 5, 0.6
+#: Items of fewer words than this are all answer; they are found where all their words stand in a row.
+SHORT = ANSWER + 1
 #: Words of all items that one pass over the documents searches for.
 ITEM_WORDS = 400_000
 #: Words, or places of answer words, worked on at once.
@@ -260,8 +260,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     longest common subsequence of words has ``COMMON`` of the item's words (score is that share)
     and ``ANSWERED`` of the item's rarest words stand in it. All passages that do are found: those
     with enough of the rarest words come from an index on these words, whatever else they hold,
-    and the greatest common subsequence of them counts. Items of under ``SHORT`` words are found
-    where all their words stand in a row.
+    and the greatest common subsequence of them counts. Items of no more than
+    ``ANSWER`` words are all answer and are found where all their words stand in a row.
 
     One row per row of ``docs`` and item. Null or empty texts hold nothing; null or empty items
     are in nothing. Items are searched for in blocks of ITEM_WORDS words, a pass over the

@@ -117,3 +117,16 @@ def test_every_passage_that_holds_an_item_is_found(spark):
     got = d.find_leaks(docs_df, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id): (r.common_words, r.answer_share) for r in got} == want
     assert 60 < len(want) < len(docs)
+
+
+def test_short_items_with_an_edit_are_found(spark):
+    """One word changed, dropped or added in items of 6 to 15 words."""
+    items, docs = [], []
+    for n in range(6, 16):
+        w = [f"{x}{n}" for x in dict.fromkeys(prose(n, 60).split())][:n]
+        items.append((n, " ".join(w)))
+        for edited in (w[:2] + ["changed"] + w[3:], w[:2] + w[3:], w[:2] + ["added"] + w[2:]):
+            docs.append((n * 1000 + len(docs), " ".join([prose(90 + n, 30), *edited, prose(70 + n, 30)])))
+    docs.append((1, prose(3, 400)))
+    got = d.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i // 1000) for i, _ in docs if i > 1}
