@@ -21,7 +21,8 @@ AMBIGUOUS = None
 class MatchOptions:
     hamming: bool = False
     precalculate_indels: bool = True
-    #: Lists longer than this are not aligned; such a read fails there.
+    #: Lists of mixed lengths longer than this are not aligned, nor are more barcodes of equal length
+    #: than this that are all within the allowed edits; such a read fails there.
     max_candidates: int = 2000
 
 
@@ -56,7 +57,7 @@ class Matcher:
     """One element, ready to be tried at places of reads."""
 
     def __init__(self, element: Element, emitted: Sequence[str] | None, options: MatchOptions) -> None:
-        self.element, self.options = element, options
+        self.element, self.options, self.equal_length = element, options, element.equal_length
         #: What is written for a barcode: itself, or its complement on the opposite strand.
         self.emit = dict(zip(element.barcodes, emitted, strict=True)) if emitted is not None else {}
         self.align_all = lru_cache(maxsize=100_000)(self._align_all)
@@ -79,6 +80,19 @@ class Matcher:
         rows = [list(b.ljust(width, "\0").encode()) for b in self.element.barcodes]
         return np.array(rows, np.uint8), np.array([len(b) for b in self.element.barcodes])
 
+    @cached_property
+    def pieces(self) -> list[tuple[int, int, dict[str, list[int]]]]:
+        """Start and end of each of ``max_edits`` + 1 pieces of equally long barcodes, and the barcodes by its letters."""
+        e, n = self.element, self.element.max_edits + 1
+        out = []
+        for p in range(n):
+            start, end = e.length * p // n, e.length * (p + 1) // n
+            by_letters: dict[str, list[int]] = {}
+            for i, b in enumerate(e.barcodes):
+                by_letters.setdefault(b[start:end], []).append(i)
+            out.append((start, end, by_letters))
+        return out
+
     def at(self, read: str, offset: int) -> Hit | None:
         """What the element takes from ``read`` at ``offset``, or None."""
         e = self.element
@@ -93,7 +107,7 @@ class Matcher:
             return got and Hit(e.name, *got)
         if not e.barcodes:
             return None
-        return self._equal(read, offset) if e.equal_length else self.align_all(self._window(read, offset))
+        return self._equal(read, offset) if self.equal_length else self.align_all(self._window(read, offset))
 
     def _window(self, read: str, offset: int) -> str:
         return read[offset : offset + max(map(len, self.element.barcodes)) + self.element.max_edits]
@@ -126,22 +140,42 @@ class Matcher:
                 return None
         return self.align_all(self._window(read, offset))
 
+    def _sharing(self, window: str) -> list[int]:
+        """Barcodes with a piece whole in the window, as far from its place as the edits may move it.
+
+        No barcode within the allowed edits is missing: they leave one of the pieces whole.
+        """
+        k = self.element.max_edits
+        found: set[int] = set()
+        for start, end, by_letters in self.pieces:
+            for at in range(max(0, start - k), start + k + 1):
+                found.update(by_letters.get(window[at : at + end - start], ()))
+        return sorted(found)
+
     def _align_all(self, window: str) -> Hit | None:
         """The one barcode nearest to the window's start, by the rules for ties in list order."""
-        e = self.element
-        if len(e.barcodes) > self.options.max_candidates:
-            return None
-        near = prefix_distances(*self.codes, window) if len(e.barcodes) > 8 else None
+        e, most = self.element, self.options.max_candidates
+        tried, near = range(len(e.barcodes)), None
+        if len(e.barcodes) > most:
+            if not self.equal_length:
+                return None
+            tried = self._sharing(window)
+            near = prefix_distances(self.codes[0][tried], self.codes[1][tried], window)
+            if np.count_nonzero(near <= e.max_edits) > most:
+                return None
+        elif len(e.barcodes) > 8:
+            near = prefix_distances(*self.codes, window)
         best: Hit | None = None
         tied, least = False, e.max_edits + 1
-        for i, b in enumerate(e.barcodes):
-            if near is not None and near[i] > min(least, e.max_edits):
+        for at, i in enumerate(tried):
+            if near is not None and near[at] > min(least, e.max_edits):
                 continue
+            b = e.barcodes[i]
             got = prefix_align(b, window[: len(b) + e.max_edits], e.max_edits)
             if got is None or sum(got[1:]) > least:
                 continue
             hit = Hit(b, *got)
-            if not e.equal_length and best is not None and hit.consumed < best.consumed:
+            if not self.equal_length and best is not None and hit.consumed < best.consumed:
                 continue  # a shorter piece of read loses, however few its edits
             tied = hit.edits == least and best is not None
             best, least = hit, hit.edits

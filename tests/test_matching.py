@@ -1,13 +1,15 @@
 """Patterns and matching against known results, and properties of both."""
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from helixframe.functions.align import prefix_align, prefix_distances, within_distance
 from helixframe.functions.seq import qgram_size, revcomp_text
-from helixframe.operators.matching import MatchOptions, PatternMatcher, best_match, indel_tables, substitution_table
-from helixframe.plans.pattern import Kind, combined, conversion_rates, parse_patterns
+from helixframe.operators.matching import Matcher, MatchOptions, PatternMatcher, best_match, indel_tables, substitution_table
+from helixframe.plans.pattern import Element, Kind, combined, conversion_rates, parse_patterns
 
 # fixed values: inputs and results that any implementation must agree on
 FILES = {
@@ -189,3 +191,24 @@ def test_prefix_alignment_finds_the_least_distance(p, t):
     codes = np.array([list(p.encode())], np.uint8)
     assert prefix_distances(codes, np.array([len(p)]), t)[0] == best
     assert within_distance(p, t, 2, False) == (distance(p, t) <= 2)
+
+
+@pytest.mark.parametrize(("edits", "indels"), [(1, False), (2, True), (2, False), (3, True)])
+def test_long_lists_of_equal_length_are_aligned_like_short_ones(edits, indels):
+    rng = random.Random(edits)
+    listed = tuple(dict.fromkeys("".join(rng.choices("ACGT", k=12)) for _ in range(2300)))
+    e = Element(Kind.LIST, "long.txt", edits, 12, listed)
+    pruned, whole = (Matcher(e, None, MatchOptions(precalculate_indels=indels, max_candidates=n)) for n in (2000, len(listed)))
+    found = 0
+    for _ in range(120):
+        read = list(rng.choice(listed) + "".join(rng.choices("ACGT", k=6)))
+        for _ in range(edits):
+            at, kind = rng.randrange(11), rng.randrange(3)
+            read[at : at + (kind < 2)] = rng.choice("ACGTN") if kind else ""
+        for text in ("".join(read), "".join(read[: 12 - edits])):  # the second ends early
+            window = pruned._window(text, 0)
+            assert pruned.align_all(window) == whole.align_all(window)
+            found += pruned.align_all(window) is not None and pruned.at(text, 0) is not None
+    assert found > 50
+    mixed = Element(Kind.LIST, "mixed.txt", edits, 0, (*listed, "ACGT"))
+    assert Matcher(mixed, None, MatchOptions()).at(listed[0], 0) is None  # as in the reference
