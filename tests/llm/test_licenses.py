@@ -62,3 +62,28 @@ def test_edges(spark, edge_docs, edge_rows, no_docs):
     assert len(rows) == len(edge_rows)
     check(rows, [(i, t) for i, t in edge_rows if i is not None])
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL"
+WRAPPED = {
+    1: (BSD, "bsd"), 2: (MPL, "mpl-2.0"),
+    3: ("/*\n * Copyright\n *\n" + "".join(f" * {x}\n" for x in BSD.split("\n")) + " */\n\nint x;", "bsd"),
+    4: ("".join(f"// {x}\r\n" for x in MPL.split("\n")), "mpl-2.0"),
+    5: ("one line\n\n" + BSD.replace(" ", "\n") + "\nand more", "bsd"),  # a word a line
+    6: ("\n\nLicensed under\n\nthe Apache License,\n# Version 2.0.", "apache-2.0"),
+    7: ("x " * 200 + "licensed\nunder CC BY\n4.0 " + "y " * 200, "cc-by,cc-by-4.0,cc-by-nc-4.0,cc-by-sa-4.0"),  # as on one line
+    8: ("licensed under\n" + "x " * 100 + "\nthe apache license\n" + "x " * 100 + "\nversion 2.0", ""),
+    13: ("Licensed under the Apache License,\nVersion 2.0. Es war mit", "apache-2.0"),  # no mit license
+    9: ("", ""), 10: (None, ""), 11: ("\n \r\n", ""), 12: (BSD.replace("\n", " "), "bsd"),
+}
+
+
+def test_notices_that_wrap(spark, tmp_path):
+    spark.createDataFrame([(i, t) for i, (t, _) in WRAPPED.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in licenses.op9_licenses(spark, str(tmp_path)).collect()}
+    assert {i: r.labels for i, r in got.items()} == {i: want for i, (_, want) in WRAPPED.items()}
+    assert all((r.score >= licenses.CONTAINMENT) == bool(r.labels) for r in got.values())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id in (3, 12)")
+    blocks = {r.doc_id: {m.block for m in r.matches} for r in licenses.scan_licenses(docs, wrapped=True).collect()}
+    assert blocks[12] == {0} and blocks[3] and max(blocks[3]) < 0
