@@ -14,12 +14,14 @@ def intervals(entries: DataFrame) -> DataFrame:
     ``entries`` has pattern (a host, or a host and the start of a path), category, action ("block",
     "allow" or "remove") and day. An entry holds from its day until the next one for the same
     pattern and category; "remove" ends the one before and leaves none. Of entries on one day the
-    greatest action by name counts, so repeats change nothing. Null patterns or days are dropped,
-    patterns are lower-cased.
+    greatest action by name counts, so repeats change nothing. Null patterns or days are dropped.
+    Hosts of patterns are lower-cased, paths keep their case.
     """
+    host = F.regexp_extract("pattern", "^[^/]*", 0)
+    pattern = F.concat(F.lower(host), F.substr("pattern", F.length(host) + 1))
     one = (
         entries.where("pattern is not null and day is not null")
-        .groupBy(F.lower("pattern").alias("pattern"), F.coalesce("category", F.lit("")).alias("category"), F.col("day").cast("date").alias("day"))
+        .groupBy(pattern.alias("pattern"), F.coalesce("category", F.lit("")).alias("category"), F.col("day").cast("date").alias("day"))
         .agg(F.max("action").alias("action"))
     )
     w = Window.partitionBy("pattern", "category").orderBy("day")
@@ -43,7 +45,8 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """As-of join of captures (capture_id, url, fetched) with the list entries active at fetch time.
 
     A capture is tried under its host, each parent domain of two labels or more, and its host with
-    each leading path segment up to the third. Of the active entries the one with the longest
+    its leading path segments, as many as the deepest path in ``entries`` has at most (read from
+    it first). Of the active entries the one with the longest
     pattern decides ("allow" beats "block" at equal length, then the smaller category). Returns
     capture_id, host, fetched, n_active, pattern, category, action and blocked; captures under no
     entry keep nulls and blocked false, as do those with a null url or fetch day.
@@ -60,13 +63,15 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
         n >= 2, F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.array_join(F.slice(labels, i + 1, n), "."))
     ).otherwise(F.array("host"))
     segments = F.filter(F.split(F.regexp_replace("path", "^/", ""), "/"), lambda s: s != "")
-    deep = F.least(F.size(segments), F.lit(3))
+    listed = intervals(entries)
+    depth = F.size(F.split("pattern", "/")) - 1
+    deepest = listed.agg(F.max(depth)).first()[0] or 0
+    deep = F.least(F.size(segments), F.lit(deepest))
     prefixes = F.when(
         deep >= 1,
         F.transform(F.sequence(F.lit(1), deep), lambda i: F.concat(F.col("host"), F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))),
     ).otherwise(F.array().cast("array<string>"))
     keys = c.select("capture_id", "host", "fetched", F.explode_outer(F.array_distinct(F.concat(domains, prefixes))).alias("pattern"))
-    listed = intervals(entries)
     k, e = keys.alias("k"), listed.alias("e")
     hits = k.join(
         e,

@@ -38,3 +38,19 @@ def test_captures_meet_entries_active_when_fetched(spark):
 
 def test_query_covers_every_page(spark, sf):
     assert urls.op2_url_filters(spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_deep_paths_and_capitals_in_paths(spark):
+    entries = spark.createDataFrame(
+        [("Host.com/a/b/c/d", "s", "block", D(0)), ("host.com/Wiki/Page", "s", "block", D(0)), ("x.org/" + "/".join("abcdefgh"), "s", "block", D(0))],
+        "pattern string, category string, action string, day date",
+    )
+    urls_of = {
+        1: ("http://host.com/a/b/c/d", 1), 2: ("http://HOST.com/a/b/c/d/e?q", 1), 3: ("http://host.com/a/b/c", 0), 4: ("http://host.com/a/b/c/dd", 0),
+        5: ("http://host.com/Wiki/Page/x", 1), 6: ("http://host.com/wiki/page", 0), 7: ("http://x.org/a/b/c/d/e/f/g/h/i", 1), 8: ("http://x.org/a/b/c/d/e/f/g", 0),
+    }
+    captures = spark.createDataFrame([(i, u, D(5)) for i, (u, _) in urls_of.items()], "capture_id long, url string, fetched date")
+    got = {r.capture_id: r.n_active for r in urls.filter_urls(captures, entries).collect()}
+    assert got == {i: n for i, (_, n) in urls_of.items()}
+    hosts = spark.createDataFrame([("host.com", "s", "block", D(0))], entries.schema)
+    assert {r.capture_id for r in urls.filter_urls(captures, hosts).where("blocked").collect()} == {1, 2, 3, 4, 5, 6}
