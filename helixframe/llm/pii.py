@@ -33,7 +33,7 @@ CONTEXT = {
 }
 CONTEXT_CHARS = 48
 CONTEXT_BONUS = 0.2
-#: Lengths of the arrays that running sums are taken over at once.
+#: Lengths of the arrays that running sums are taken over at once, and of the pieces of text that context is taken from.
 RUN = 256
 
 
@@ -105,9 +105,21 @@ def running(lengths: Column) -> Column:
 
 
 def spans_of(kind: str, text: Column) -> Column:
-    """Confirmed spans of one kind: start and end in code points, and score."""
+    """Confirmed spans of one kind: start and end in code points, and score.
+
+    Context words count in the CONTEXT_CHARS characters before and after a span, whatever spans are there.
+    """
     pattern = PATTERNS[kind]
-    near = lambda p: F.right(p["before"], F.lit(CONTEXT_CHARS)).rlike(CONTEXT[kind])
+
+    def part(chunks: Column, lo: Column, n: Column) -> Column:
+        at = F.floor(lo / RUN)  # n is less than a chunk, so two hold it
+        return F.substring(F.array_join(F.slice(chunks, (at + 1).cast("int"), F.lit(2)), ""), (lo - at * RUN + 1).cast("int"), n.cast("int"))
+
+    def near(chunks: Column, p: Column) -> Column:
+        first = F.greatest(p["start"] - CONTEXT_CHARS, F.lit(0).cast("long"))
+        before = part(chunks, first, p["start"] - first)
+        after = part(chunks, p["start"] + F.length(p["match"]), F.lit(CONTEXT_CHARS))
+        return before.rlike(CONTEXT[kind]) | after.rlike(CONTEXT[kind])
 
     def place(pieces: Column) -> Column:
         lengths = F.transform(pieces, lambda p: (F.length(p["before"]) + F.length(p["match"])).cast("long"))
@@ -128,16 +140,17 @@ def spans_of(kind: str, text: Column) -> Column:
             lambda b, m: F.struct(b.alias("before"), m.alias("match")),
         ),
     )
-    spans = F.transform(
+    spans = lambda chunks: F.transform(
         F.filter(let(pieces, place), lambda p: valid(kind, p["match"])),
         lambda p: F.struct(
             p["start"].alias("start"),
             F.lit(list(PATTERNS).index(kind)).alias("rank"),
             F.lit(kind).alias("kind"),
             (p["start"] + F.length(p["match"])).alias("end"),
-            F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near(p), CONTEXT_BONUS).otherwise(0.0)).alias("score"),
+            F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near(chunks, p), CONTEXT_BONUS).otherwise(0.0)).alias("score"),
         ),
     )
+    spans = let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{RUN}}}"), F.lit(0)), spans)
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,score:double>>")
     hint = F.contains(text, F.lit(HINTS[kind])) if kind in HINTS else F.lit(True)
     return F.when(hint & text.rlike(pattern), spans).otherwise(none)

@@ -65,3 +65,21 @@ def test_query_digests(spark, sf, sf_docs):
 def test_edge_rows(edge_docs, no_docs):
     assert pii.find_personal_data(edge_docs).count() == edge_docs.count()
     assert pii.find_personal_data(no_docs).count() == 0
+
+
+def test_context_on_both_sides_whatever_else_matches_there(spark):
+    card = "4111111111111111"
+    texts = [
+        f"{card} (visa)", f"visa {card}, {card}", f"{card} and {card} visa", card, f"{card} " + "x" * 60 + " visa", "visa " + "x" * 60 + f" {card}",
+        *("😀é\n" * n + f"visa {card}" for n in (80, 84, 85, 170)), *("é😀" * n + f" {card} visa" for n in (110, 119, 120, 127, 128)),
+        "call 10.0.0.1 10.0.0.2 server", "a@b.cd c@d.ef " * 400 + "mail",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_personal_data(docs).collect():
+        t = texts[r.doc_id]
+        assert r.spans
+        for s in r.spans:
+            n = pii.CONTEXT_CHARS
+            word = re.compile(pii.CONTEXT[s.kind])
+            near = word.search(t[max(0, s.start - n) : s.start]) or word.search(t[s.end : s.end + n])
+            assert abs(s.score - min(1.0, pii.SCORES[s.kind] + (pii.CONTEXT_BONUS if near else 0))) < 1e-9, (t[:80], s)
