@@ -6,7 +6,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,22 @@ from .texthash import mix, shingles, word_hashes
 NUM, DEN = 80, 100
 #: Words of a shingle.
 N = 5
-#: Sizes that the boundary between small and large sets is chosen from.
-MOST_SMALL = 16
+#: Sizes whose counts the boundary between small and large sets is chosen by. A set of more has over
+#: 2**29 subsets of the least overlap with its like, so no boundary there costs least.
+COUNTED = 64
 #: Shingles of known frequency. The table orders tokens; without an entry one counts as rare. It
 #: changes which lists are long, never which pairs link.
 ORDERED = 200_000
-#: A shingle enters the table's counts from so many sets in one block of a task.
+#: A shingle enters the table's counts from so many sets in one block of a task, so that a count is
+#: short by under FREQUENT / BLOCK of all shingles.
 FREQUENT = 4
 BLOCK = 2_000_000
 #: About so many sets of a list lead it in the first round after the one with one leader; times STEP in each next.
-LEADERS, STEP = 8, 8
+LEADERS, STEP = 32, 64
+#: Subsets of a small set worked on, and about so many postings sent, at once.
+SUBSETS, SENT = 1 << 13, 1 << 17
+#: Tokens of a set by which one of the lists that it shares with another set is named.
+WITNESSES = 4
 #: Bits of the filter that says which sets to fetch.
 MOST_BITS = 1 << 27
 #: Longs of the short bitmap that lists carry; the long one has at least twice as many bits.
@@ -59,18 +65,15 @@ def choose_boundary(sizes: dict[int, int], list_length: float) -> int:
     """The greatest size whose sets are handled by subsets: where that costs least.
 
     A small set costs one row for each of its subsets; a large one a row for each prefix token
-    and, for each, the length of the list that it is then compared within.
+    and, for each, the length of the list that it is then compared within. Every size that
+    ``sizes`` counts is tried.
     """
     best, at = math.inf, 0
-    for boundary in range(MOST_SMALL + 1):
-        cost = 0.0
-        for n, count in sizes.items():
-            if n <= boundary:
-                cost += count * sum(math.comb(n, c) for c in subset_sizes(n, boundary))
-            if DEN * n // NUM > boundary:
-                cost += count * prefix_length(n) * list_length
-        if cost < best:
-            best, at = cost, boundary
+    for boundary in range(max(sizes, default=0) + 1):
+        light = sum(count * sum(math.comb(n, c) for c in subset_sizes(n, boundary)) for n, count in sizes.items() if n <= boundary)
+        heavy = sum(count * prefix_length(n) * list_length for n, count in sizes.items() if DEN * n // NUM > boundary)
+        if light + heavy < best:
+            best, at = light + heavy, boundary
     return at
 
 
@@ -100,7 +103,7 @@ def _sets(b: pa.RecordBatch):
 
 
 def _survey(salt: int):
-    """Rows of two kinds: (doc_id, n, sid, proof, bits, words) for each document, (h, c) for frequent shingles."""
+    """Rows of two kinds: (doc_id, key, n, sid, proof, bits, words) for each document, (h, c) for frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -110,10 +113,10 @@ def _survey(salt: int):
             h, c = h[c >= FREQUENT], c[c >= FREQUENT]
             none = pa.nulls(len(h), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, none.cast(pa.int32()), none, none, pa.nulls(len(h), pa.binary()), pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c.astype(np.int64))], names
+                [none, pa.nulls(len(h), pa.binary()), none.cast(pa.int32()), none, none, pa.nulls(len(h), pa.binary()), pa.nulls(len(h), pa.list_(pa.int64())), pa.array(h), pa.array(c.astype(np.int64))], names
             )
 
-        names = ["doc_id", "n", "sid", "proof", "bits", "words", "h", "c"]
+        names = ["doc_id", "key", "n", "sid", "proof", "bits", "words", "h", "c"]
         for b in batches:
             n, sid, proof, bits, words = [], [], [], [], []
             for s in _sets(b):
@@ -130,7 +133,7 @@ def _survey(salt: int):
                     size += len(s)
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64())), none, none],
+                [b.column("doc_id"), b.column("key"), pa.array(n, pa.int32()), pa.array(sid, pa.int64()), pa.array(proof, pa.int64()), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64())), none, none],
                 names,
             )
             if size > BLOCK:
@@ -141,9 +144,19 @@ def _survey(salt: int):
     return run
 
 
-@lru_cache(maxsize=4096)
-def _subset_index(n: int, c: int) -> np.ndarray:
-    return np.array(list(combinations(range(n), c)))
+@lru_cache(maxsize=256)
+def _few_subsets(n: int, c: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), c)), np.uint8)
+
+
+def _subsets(n: int, c: int) -> Iterator[np.ndarray]:
+    """Places of all subsets of ``c`` out of ``n`` items, SUBSETS of them at a time."""
+    if math.comb(n, c) <= SUBSETS:
+        yield _few_subsets(n, c)
+        return
+    every = combinations(range(n), c)
+    while some := list(islice(every, SUBSETS)):
+        yield np.array(some, np.uint8)
 
 
 def _postings(order, boundary: int, salt: int):
@@ -152,15 +165,23 @@ def _postings(order, boundary: int, salt: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = order.value
         seen = set()
-        for b in batches:
-            out: list[list] = [[], [], [], []]
-
-            def add(keys, sid, n, pos, out=out):
-                out[0].append(keys)
-                out[1].append(np.full(len(keys), sid))
-                out[2].append(np.full(len(keys), n, np.int32))
-                out[3].append(pos.astype(np.int32))
+        out: list[list] = [[], [], [], []]
+        rows = 0
+
+        def add(keys, sid, n, pos):
+            nonlocal rows
+            rows += len(keys)
+            out[0].append(keys)
+            out[1].append(np.full(len(keys), sid))
+            out[2].append(np.full(len(keys), n, np.int32))
+            out[3].append(pos.astype(np.int32))
+
+        def batch() -> pa.RecordBatch:
+            nonlocal out, rows
+            sent, out, rows = out, [[], [], [], []], 0
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in sent], ["h", "sid", "n", "pos"])
 
+        for b in batches:
             for s in _sets(b):
                 n = len(s)
                 if not n:
@@ -171,9 +192,11 @@ def _postings(order, boundary: int, salt: int):
                 seen.add(sid)
                 if n <= boundary:
                     for c in subset_sizes(n, boundary):
-                        which = _subset_index(n, c)
-                        keys = mix(mix(s.view(np.uint64))[which].sum(axis=1) + np.uint64(c)).view(np.int64)
-                        add(keys, sid, n, np.full(len(keys), -1))
+                        for which in _subsets(n, c):
+                            keys = mix(mix(s.view(np.uint64))[which].sum(axis=1) + np.uint64(c)).view(np.int64)
+                            add(keys, sid, n, np.full(len(keys), -1))
+                            if rows > SENT:
+                                yield batch()
                 if DEN * n // NUM > boundary:
                     p = prefix_length(n)
                     if len(known):
@@ -186,8 +209,10 @@ def _postings(order, boundary: int, salt: int):
                     else:
                         rare = s[:p]
                     add(rare, sid, n, np.arange(p))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["h", "sid", "n", "pos"])
+                if rows > SENT:
+                    yield batch()
+        if rows:
+            yield batch()
 
     return run
 
@@ -264,6 +289,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
 
 
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """``lists`` with the root of each set, without the lists whose sets all have one."""
+    labelled = saved(
+        lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled"
+    )
+    spread = labelled.groupBy("h").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("h")
+    out = saved(labelled.join(spread, "h", "left_semi"), "lists")
+    drop(labelled)
+    return out
+
+
 def _links(lists: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
     """(node, root) of sets that link, from ``lists`` (h, sid, n, pos).
 
@@ -274,95 +310,103 @@ def _links(lists: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
     in one component are left out, and a list whose sets all are is dropped. The rounds' leaders
     grow until lists are exhausted, so every pair either was compared or is in one component by
     other links.
+
+    Near copies share most of their lists. A pair is looked at in one of them where it can be told:
+    a set's witnesses are its least tokens by WITNESSES residues, and a pair with an equal witness
+    is looked at in the list of the first such token alone, which both sets are in.
     """
-    spark = lists.sparkSession
     u = (F.pmod(F.xxhash64("sid"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
-    counts = lists.groupBy("h").agg(F.count("*").alias("k"))
+    own = ["u", "sid", "n", "pos"]
+    lists = lists.select("h", u, "sid", "n", "pos")
+    heads = saved(lists.groupBy("h").agg(F.min(F.struct(*own)).alias("x"), F.count("*").alias("k")), "heads")
+    star = heads.select("h", *(F.col(f"x.{c}").alias(f"{c}_x") for c in own)).join(_other(lists), "h").where(_able())
     words = [f"w{i}" for i in range(WORDS)]
-    short = bitmaps.select("sid", *(F.col("words")[i].alias(w) for i, w in enumerate(words)))
-    now = saved(lists.join(counts, "h").join(short, "sid").select("h", "sid", "n", "pos", "k", u, *words), "lists")
-    bitmaps = bitmaps.drop("words")
-    own = ["u", "sid", "n", "pos", *words]
-    star = now.groupBy("h").agg(F.min(F.struct(*own)).alias("x")).select("h", *(F.col(f"x.{c}").alias(f"{c}_x") for c in own))
-    roots = components(_confirmed(star, now, bitmaps, fetch))
-    release(spark)
-    done, leaders, settled = 0, LEADERS, 2
-    while True:
-        left = now.where(F.col("k") > settled).drop("root")
-        labelled = left.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        labelled = saved(labelled, "labelled")
-        drop(now)
-        open_lists = labelled.groupBy("h").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("h")
-        now = saved(labelled.join(open_lists, "h", "left_semi").select("h", "k", *own, "root"), "lists")
-        drop(labelled)
-        if not now.limit(1).count():
-            drop(now)
-            return roots
+    short = bitmaps.select("sid", "n", *(F.col("words")[i].alias(w) for i, w in enumerate(words)))
+    star = saved(_pairs(star), "star")
+    found = _confirmed(_both(star, short, ["n", *words], "x", "y").where(_near()).select("a", "b"), bitmaps, fetch)
+    roots = components(found)
+    drop(star)
+    drop(found)
+    release(lists.sparkSession)
+
+    residue = F.pmod(F.xxhash64("h"), F.lit(WITNESSES))
+    witness = lists.groupBy("sid").agg(*(F.min(F.when(residue == i, F.col("h"))).alias(f"m{i}") for i in range(WITNESSES)))
+    now = _rooted(lists.join(heads.where("k > 2").select("h", "k"), "h"), roots)
+    carried = now.join(witness, "sid").join(short.drop("n"), "sid")
+    now, before = saved(carried, "carried"), now
+    for x in (before, heads):
+        drop(x)
+    own += ["root", *(f"m{i}" for i in range(WITNESSES)), *words]
+    done, leaders = 0, LEADERS
+    while now.limit(1).count():
         place = F.col("u") * F.col("k")
-        lead = now.where((place >= done) & (place < leaders)).drop("k")
-        found = _confirmed(lead.select("h", *(F.col(c).alias(f"{c}_x") for c in lead.columns if c != "h")), now.where(place >= done), bitmaps, fetch)
+        lead = now.where((place >= done) & (place < leaders)).select("h", *(F.col(c).alias(f"{c}_x") for c in own))
+        named = reduce(
+            lambda rest, i: F.when(F.col(f"m{i}_x") == F.col(f"m{i}_y"), F.col("h") == F.col(f"m{i}_x")).otherwise(rest),
+            reversed(range(WITNESSES)), F.lit(True),
+        )
+        met = lead.join(_other(now.where(place >= done).select("h", *own)), "h").where(_able() & (F.col("root_x") != F.col("root_y")) & named & _near())
+        found = _confirmed(_pairs(met), bitmaps, fetch)
         known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(found.unionByName(known))
-        release(spark)
-        done, settled, leaders = leaders, leaders, leaders * STEP
+        before, now = now, _rooted(now.where(F.col("k") > leaders).drop("root"), roots)
+        drop(before)
+        drop(found)
+        release(lists.sparkSession)
+        done, leaders = leaders, leaders * STEP
+    drop(now)
+    return roots
 
 
-def _confirmed(leaders: DataFrame, members: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
-    """(a, b) of sets that link, a leader and a member of one list each, compared exactly.
+def _other(members: DataFrame) -> DataFrame:
+    return members.select("h", *(F.col(c).alias(f"{c}_y") for c in members.columns if c != "h"))
 
-    Pairs go by the order of (u, sid), so that each is looked at from one side. Those that lengths
-    and positions rule out, those in one component, and those whose short bitmaps differ in more
-    bits than linking sets can differ in items, never become rows; long bitmaps rule out more. Only the sets of the rest are fetched.
-    """
-    y = members.select("h", *(F.col(c).alias(f"{c}_y") for c in members.columns if c not in ("h", "k")))
+
+def _able():
+    """x stands before y, and lengths and places in the list allow for a link. Pairs go by the order of (u, sid)."""
     before = F.struct("u_x", "sid_x") < F.struct("u_y", "sid_y")
     few, many = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
     room = F.least("pos_x", "pos_y") + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
     enough = (F.col("pos_x") < 0) | (room * (DEN + NUM) >= (F.col("n_x") + F.col("n_y")) * NUM)
+    return before & (few * DEN >= many * NUM) & enough
+
+
+def _near():
+    """Whether short bitmaps differ in no more bits than sets that link can differ in items."""
     both = F.col("n_x") + F.col("n_y")
     differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"w{i}_x").bitwiseXOR(F.col(f"w{i}_y"))) for i in range(WORDS)])
-    near = differ <= both - 2 * F.ceil(both * NUM / (DEN + NUM))
-    pairs = leaders.join(y, "h").where(before & (few * DEN >= many * NUM) & enough & near)
-    if "root" in members.columns:
-        pairs = pairs.where("root_x != root_y")
-    pairs = pairs.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
-
-    def with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            names = [F.col(c).alias(side if c == "sid" else f"{c}_{side}") for c in table.columns]
-            pairs = pairs.join(table.select(*names), side)
-        return pairs
-
-    likely = saved(with_both(pairs, bitmaps).mapInArrow(_plausible, "a long, b long"), "pairs")
+    return differ <= both - 2 * F.ceil(both * NUM / (DEN + NUM))
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
+
+
+def _both(pairs: DataFrame, table: DataFrame, columns: list[str], *suffixes: str) -> DataFrame:
+    """``pairs`` (a, b) with ``columns`` of ``table`` (sid, ...) for either side."""
+    for side, suffix in zip(("a", "b"), suffixes, strict=True):
+        pairs = pairs.join(table.select(F.col("sid").alias(side), *(F.col(c).alias(f"{c}_{suffix}") for c in columns)), side)
+    return pairs
+
+
+def _confirmed(pairs: DataFrame, bitmaps: DataFrame, fetch) -> DataFrame:
+    """The ``pairs`` (a, b) of sets that link, compared exactly. Long bitmaps rule most others out; only sets of the rest are fetched."""
+    likely = saved(_both(pairs, bitmaps, ["n", "bits"], "a", "b").mapInArrow(_plausible, "a long, b long"), "pairs")
     release(pairs.sparkSession)
-    named = likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct()
-    sets = fetch(named)
-    out = saved(with_both(likely, sets).mapInArrow(_verify, "a long, b long"), "links")
+    sets = fetch(likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct())
+    out = saved(_both(likely, sets, ["items"], "a", "b").mapInArrow(_verify, "a long, b long"), "links")
     drop(sets)
     drop(likely)
     return out
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Sets of distinct 5-word shingles (fewer words: all of them as one) link at a Jaccard
-    similarity of 0.8 or more; component_id is the smallest doc_id reachable by links. A null or
-    empty text, or one of white space alone, has no shingles and links with nothing. Rows of one
-    doc_id with the same text are one document. All pairs that link are found: the join has no
-    caps and every candidate is compared exactly.
-
-    Equal sets are one set from the start, under a 64-bit name of which it is proved, with 64
-    more bits, that no two sets here share it. Sets up to a boundary size are joined on their
-    subsets of the smallest size that a linking pair shares; larger ones on the tokens of their
-    prefix, rarest first, with length and positional filters. The boundary is chosen by cost.
-    """
+def _classed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n, sid, root) of every row of ``docs`` (doc_id, key, text); root is null without shingles."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for salt in range(8):
         survey = saved(
-            docs.mapInArrow(_survey(salt), "doc_id long, n int, sid long, proof long, bits binary, words array<long>, h long, c long"), "survey"
+            docs.mapInArrow(_survey(salt), "doc_id long, key binary, n int, sid long, proof long, bits binary, words array<long>, h long, c long"), "survey"
         )
         names = survey.where("sid is not null").groupBy("sid").agg(F.min("proof").alias("p"), F.max("proof").alias("q"))
         if not names.where("p != q").limit(1).count():
@@ -370,25 +414,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         drop(survey)
     else:
         raise RuntimeError("set names collide under every salt")
-    members = survey.where("sid is not null").select("doc_id", "n", "sid")
+    docs = docs.select("doc_id", "text")
+    members = survey.where("sid is not null").select("doc_id", "key", "n", "sid")
     frequent = survey.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
     got = frequent.orderBy(F.desc("c"), "h").limit(ORDERED).toArrow()
     known, c = got.column("h").to_numpy(), got.column("c").to_numpy()
     at = np.argsort(known)
     known, c = known[at], c[at]
-    sizes = {r.n: r.k for r in members.where(f"n between 1 and {2 * MOST_SMALL}").groupBy("n").agg(F.count("*").alias("k")).collect()}
+    sizes = {r.n: r.k for r in members.where(f"n between 1 and {COUNTED}").groupBy("n").agg(F.count("*").alias("k")).collect()}
     total = members.agg(F.sum("n").alias("n")).first().n or 0
     boundary = choose_boundary(sizes, 1 + float((c.astype(float) ** 2).sum()) / max(total, 1))
 
     order = spark.sparkContext.broadcast((known, c))
     postings = docs.mapInArrow(_postings(order, boundary, salt), "h long, sid long, n int, pos int")
     shared = postings.groupBy("h").agg(F.min("sid").alias("s"), F.max("sid").alias("t")).where("s != t").select("h")
-    lists = saved(postings.join(shared, "h", "left_semi"), "postings")
-    lists = lists.dropDuplicates(["h", "sid"])
+    repeated = saved(postings.join(shared, "h", "left_semi"), "postings")
     release(spark)
+    lists = saved(repeated.dropDuplicates(["h", "sid"]), "lists")
+    drop(repeated)
 
     bits = survey.where("sid is not null").select("sid", "n", "bits", "words").join(lists.select("sid").distinct(), "sid", "left_semi")
     bitmaps = saved(bits.dropDuplicates(["sid"]), "bitmaps")
+    release(spark)
 
     def fetch(named: DataFrame) -> DataFrame:
         """(sid, items) of the sets in ``named``, worked out anew from one document of each."""
@@ -398,21 +445,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return saved(sets.dropDuplicates(["sid"]), "sets")
 
     roots = _links(lists, bitmaps, fetch)
-    drop(bitmaps)
-    placed = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root")
+    for x in (bitmaps, lists):
+        drop(x)
+    return members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+        "root", F.when(F.col("n") > 0, F.coalesce("root", "sid"))
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Sets of distinct 5-word shingles (fewer words: all of them as one) link at a Jaccard
+    similarity of 0.8 or more; component_id is the smallest doc_id reachable by links. A null or
+    empty text, or one of white space alone, has no shingles and links with nothing. Rows of one
+    doc_id with the same text are one document; with other texts they are documents of their own.
+    A null doc_id is in no order, so a class of null ids alone has a null component_id. Other
+    columns are ignored; an empty table gives no rows. All pairs that link are found: the join has
+    no caps and every candidate is compared exactly.
+
+    Equal sets are one set from the start, under a 64-bit name of which it is proved, with 64
+    more bits, that no two sets here share it. Sets up to a boundary size are joined on their
+    subsets of the smallest size that a linking pair shares; larger ones on the tokens of their
+    prefix, rarest first, with length and positional filters. The boundary is chosen by cost.
+    """
+    placed = _classed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("key"), "text"))
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class of near duplicates, the one with the smallest doc_id."""
-    marks = near_duplicates(docs)
-    lost = saved(marks.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "lost")
-    return one_each(without(docs, lost, ["doc_id"]), ["doc_id"])
+    """``docs`` with one row of each class of near duplicates, with all columns.
+
+    It is the row with the smallest doc_id (null last); where several texts have that id, the one
+    whose set and then whose text has the smallest hash. A row is known by its doc_id and its text,
+    so other rows of its id, or of no id, stay where their own texts link with nothing. Rows that
+    repeat both are one document and one of them stays. Texts without shingles stay.
+    """
+    key = {"__helix_id": F.col("doc_id").cast("long"), "__helix_key": F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))}
+    keyed = docs.withColumns(key)
+    placed = saved(_classed(keyed.select(F.col("__helix_id").alias("doc_id"), F.col("__helix_key").alias("key"), "text")), "placed")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sid", "key")
+    best = placed.where("root is not null").groupBy("root").agg(F.min(row).alias("best"))
+    lost = placed.join(best, "root").where(~row.eqNullSafe(F.col("best"))).select(F.col("doc_id").alias("__helix_id"), F.col("key").alias("__helix_key"))
+    lost = saved(lost.distinct(), "lost")
+    drop(placed)
+    names = list(key)
+    return one_each(without(keyed, lost, names), names).drop(*names)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
