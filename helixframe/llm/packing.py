@@ -35,19 +35,43 @@ def _encoding(json_path: str, ranks_path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+def _encoder(json_path: str, ranks_path: str, pattern: str):
+    """Token ids of a text.
+
+    The faster library gives the ids of ``tokenizers``, but its pattern engine refuses some very
+    long runs, of white space for one; such a text is encoded by ``tokenizers`` itself.
+    """
+    fast = _encoding(json_path, ranks_path, pattern)
+
+    def ids(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(_tokenizer(json_path).encode(text, add_special_tokens=False).ids, np.int64)
+
+    return ids
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(json_path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(json_path)
+
+
 def _cut(tokenizer: tuple[str, str, str], capacity: int, end_id: int):
     """Pieces of each document; in each partition they are numbered within their length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc = _encoding(*tokenizer)
+        encode = _encoder(*tokenizer)
         part = TaskContext.get().partitionId()
         places = np.zeros(capacity + 1, np.int64)
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                ids = np.append(enc.encode_to_numpy(text.as_py() or "", allowed_special="all"), end_id).astype("<u4")
+                ids = np.append(encode(text.as_py() or ""), end_id).astype("<u4")
                 first = len(ids) % capacity or capacity
                 at, piece = 0, 0
                 while at < len(ids):
@@ -228,7 +252,9 @@ def pack_documents(
     packed each on its own.
 
     The tokens are those of the tokenizer in ``json_path``; ``ranks_path`` holds the same
-    vocabulary for the faster of two libraries, whose results are the same.
+    vocabulary for the faster of two libraries, whose results are the same. Texts that it refuses
+    (runs of a million blanks) are encoded by the other one. Other columns are ignored; an empty
+    table gives no pieces; pieces of a null doc_id keep it.
 
     Which lengths share a sequence is planned from their counts alone (``plan``), at most
     ``capacity`` numbers. Pieces are ranked within their length by partition and place in it,

@@ -77,3 +77,18 @@ def test_a_plan_is_on_counts_whatever_their_size():
 def test_configurations_reach_the_linear_bound():
     chosen = packing.configurations(np.array([6, 4]), np.array([1000, 1000]), 10)
     assert sum(m for _, m in chosen) == 1000
+
+
+def test_long_runs(spark):
+    """Texts that the faster library refuses, or takes as one piece."""
+    rows = [(1, "a" + "\n" * 1_000_000), (2, " " * 1_000_000), (3, "x" * 1_000_000), (4, "\t \n" * 100_000), (5, "b")]
+    check(packing.pack_with_public_tokenizer(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
+def test_sequences_at_ten_thousand_documents(spark):
+    """As few as the tokens allow, give or take one in a thousand."""
+    got = packing.op4_packing(spark, "/root/testdata/sf0.1")
+    from pyspark.sql import functions as F
+
+    r = got.agg(F.countDistinct("sequence_id").alias("used"), F.sum("length").alias("tokens")).first()
+    assert r.used <= -(-r.tokens // 2048) * 1.001 + 1
