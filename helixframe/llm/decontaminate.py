@@ -1,4 +1,4 @@
-"""Benchmark decontamination by an exact search for answer words and common subsequences."""
+"""Benchmark decontamination by latent semantic retrieval."""
 
 from __future__ import annotations
 
@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, saved, table, without
 from .texthash import NOT_ALNUM, mix, word_hashes
 
-#: Hashed terms that rarity is counted by.
-TERMS = 1 << 14
-#: Words of a passage that a term is counted once in.
+#: Hashed terms, columns of the random test matrix, latent dimensions.
+TERMS, SKETCH, RANK = 1 << 14, 48, 40
+#: Words of a passage that the space is fitted on.
 PASSAGE = 256
+#: Words of a step; windows begin and end with steps.
+STEP = 4
+#: Least cosine of an item and a window for the window to be a candidate.
+COSINE = 0.3
 #: Least share of an item's words that the longest common subsequence holds.
 COMMON = 0.65
 #: Of an item's rarest words (its answer words), so many at most, and the least share a passage must hold.
@@ -25,18 +29,27 @@ ANSWER, ANSWERED = 5, 0.6
 SHORT = ANSWER + 1
 #: Words of all items that one pass over the documents searches for.
 ITEM_WORDS = 400_000
-#: Words, or places of answer words, worked on at once.
+#: Words, or cosines and candidates times 64, worked on at once.
 SLICE = 1 << 15
 #: Bits of a word's hash that most words are told apart from answer words by.
 SIEVE = 20
 
 
+def _test_matrix() -> tuple[np.ndarray, np.ndarray]:
+    h = mix(np.arange(TERMS, dtype=np.uint64) + np.uint64(77))
+    return (h % np.uint64(SKETCH)).astype(np.int64), np.where(h >> np.uint64(40) & np.uint64(1), 1.0, -1.0)
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per term: passages with it."""
-    df = np.zeros(TERMS, np.int64)
+    """Per term: passages with it, and its row of A'(A W), A counting terms by passage.
+
+    W has one sign in each row, in a column given by the term's hash, so that A W is one count.
+    """
+    column, sign = _test_matrix()
+    out, df, total = np.zeros((TERMS, SKETCH)), np.zeros(TERMS, np.int64), 0
     for b in batches:
         words, bounds = word_hashes(b.column("text"), NOT_ALNUM)
-        terms = (words % np.uint64(TERMS)).astype(np.int64)
+        terms = (words % np.uint64(TERMS)).astype(np.uint16)
         inside = np.arange(len(terms)) - np.repeat(bounds[:-1], np.diff(bounds))
         passage = np.cumsum(inside % PASSAGE == 0) - 1
         lo = 0
@@ -45,18 +58,54 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hi < len(terms):  # to the end of a passage
                 hi = lo + int(np.searchsorted(passage[lo:], passage[hi]))
             hi = min(hi, len(terms))
-            df += np.bincount(np.unique((passage[lo:hi] - passage[lo]) * TERMS + terms[lo:hi]) % TERMS, minlength=TERMS)
+            t, p = terms[lo:hi], passage[lo:hi] - passage[lo]
+            n = int(p[-1]) + 1
+            y = np.bincount(p * SKETCH + column[t], weights=sign[t], minlength=n * SKETCH).reshape(n, SKETCH).astype(np.float32)
+            order = np.argsort(t, kind="stable")
+            t, p = t[order], p[order]
+            first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+            out[t[first]] += np.add.reduceat(y[p], first, axis=0)
+            df += np.bincount(t[np.append(True, (t[1:] != t[:-1]) | (p[1:] != p[:-1]))], minlength=TERMS)
+            total += n
             lo = hi
     seen = np.flatnonzero(df)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], ["term", "df"])
+    rows = pa.FixedSizeListArray.from_arrays(pa.array(out[seen].astype(np.float32).ravel()), SKETCH).cast(pa.list_(pa.float32()))
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen]), rows], ["term", "df", "row"])
+    none = pa.array([[0.0] * SKETCH], pa.list_(pa.float32()))
+    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([total]), none], ["term", "df", "row"])
 
 
-def passage_counts(docs: DataFrame) -> np.ndarray:
-    """Passages that hold each term. Tasks send TERMS rows at most; the sums go to the driver."""
-    got = docs.select("text").mapInArrow(_passages, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    df = np.zeros(TERMS, np.int64)
-    df[got.column("term").to_numpy()] = got.column("df").to_numpy()
-    return df
+def fit_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Passages with each term, and each term's place in the latent space.
+
+    One pass over all texts: a randomised SVD of the passages' TF-IDF matrix D = A I from the
+    sketch Y = A'(A W). With the test matrix W / I, D'D (W / I) is I Y, from which the Nystroem
+    form of D'D gives singular vectors and values. Places are divided by the singular values, so
+    that a passage's place is its row of the left singular vectors. Tasks send TERMS rows at most,
+    whatever they read; the sums are of fixed size and go to the driver.
+    """
+    rows = docs.select("text").mapInArrow(_passages, "term long, df long, row array<float>")
+    cells = [F.sum(F.col("row")[j].cast("double")).alias(f"c{j}") for j in range(SKETCH)]
+    got = rows.groupBy("term").agg(F.sum("df").alias("df"), *cells).toArrow()
+    term = got.column("term").to_numpy()
+    df, y = np.zeros(TERMS), np.zeros((TERMS, SKETCH))
+    real = term >= 0
+    total = float(got.column("df").to_numpy()[~real].sum())
+    df[term[real]] = got.column("df").to_numpy()[real]
+    y[term[real]] = np.stack([got.column(f"c{j}").to_numpy()[real] for j in range(SKETCH)], axis=1)
+    idf = 1 + np.log((1 + total) / (1 + df))
+    column, sign = _test_matrix()
+    core = np.zeros((SKETCH, SKETCH))
+    np.add.at(core, column, sign[:, None] * y)
+    w, v = np.linalg.eigh((core + core.T) / 2)
+    w = np.maximum(w, max(w.max(), 1e-9) * 1e-9)
+    u, s, _ = np.linalg.svd((idf[:, None] * y) @ (v / np.sqrt(w)), full_matrices=False)
+    s = np.maximum(s[:RANK], max(s[0], 1e-9) * 0.3)
+    return df, (idf[:, None] * u[:, :RANK] / s).astype(np.float32)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
 def _places(x: list[int]) -> dict[int, int]:
@@ -83,10 +132,17 @@ def longest_common(x: list[int], y: list[int]) -> int:
     return _common(len(x), [where[w] for w in y if w in where])
 
 
-def _queries(items: list[tuple[int, np.ndarray]], df: np.ndarray) -> dict:
-    """What is searched for: items by their answer words, and short items by all their words."""
+def _steps(n: int) -> int:
+    """Steps of the windows that an item of ``n`` words is compared with: its own, to two binary places."""
+    steps = max(2, round(n / STEP))
+    unit = max(1, (1 << steps.bit_length()) >> 3)
+    return round(steps / unit) * unit
+
+
+def _queries(items: list[tuple[int, np.ndarray]], df: np.ndarray, space: np.ndarray) -> dict:
+    """What is searched for: items by their place in the latent space, and short items by all their words."""
     short: dict[int, tuple[list[int], list[int]]] = {}
-    by_word: dict[int, list[int]] = {}
+    by_steps: dict[int, list[int]] = {}
     answers = []
     for k, (_, words) in enumerate(items):
         n = len(words)
@@ -97,16 +153,22 @@ def _queries(items: list[tuple[int, np.ndarray]], df: np.ndarray) -> dict:
             keys.append(_gram(words, n)[0])
             own.append(k)
         else:
-            for w in answers[k]:
-                by_word.setdefault(w, []).append(k)
-    known = np.array(sorted(by_word), np.uint64)
-    lists = [by_word[w] for w in known.tolist()]
+            by_steps.setdefault(_steps(n), []).append(k)
+    place = lambda k: space[(items[k][1] % np.uint64(TERMS)).astype(np.int64)].sum(axis=0)
+    listed = np.zeros((len(items), ANSWER), np.uint64)
+    for k, own in enumerate(answers):
+        listed[k] = [*own, *[next(iter(own))] * (ANSWER - len(own))]
     sizes = np.array([len(w) for _, w in items], np.int64)
+    span = sizes + 2 * (sizes // 4 + 1)  # an item's words, and room on both sides for words that were put in
+    held = np.array([math.ceil(ANSWERED * len(a) - 1e-9) for a in answers], np.int64)
     return {
-        "ids": [i for i, _ in items], "words": [w for _, w in items], "answers": answers, "known": known,
-        "owners": np.array([k for own in lists for k in own], np.int64), "starts": np.cumsum([0, *map(len, lists)]),
-        "span": sizes + 2 * (sizes // 4 + 1),  # an item's words, and room on both sides for words that were put in
-        "held": np.array([math.ceil(ANSWERED * len(a) - 1e-9) for a in answers], np.int64),
+        "ids": [i for i, _ in items], "words": [w for _, w in items], "answers": answers, "listed": listed,
+        "space": np.append(space, np.zeros((1, RANK), np.float32), axis=0),
+        "sought": {
+            m: (np.array(own), _unit(np.array([place(k) for k in own])), int(span[own].max()) // 2, int(held[own].min()))
+            for m, own in sorted(by_steps.items())
+        },
+        "span": span, "held": held,
         "short": {n: (np.array(sorted(set(keys)), np.uint64), list(zip(keys, own, strict=True))) for n, (keys, own) in short.items()},
     }
 
@@ -119,34 +181,60 @@ def _gram(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def _candidates(words: np.ndarray, bounds: np.ndarray, q: dict, sieve: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
-    """(document, item, places of its answer words) where a span may hold enough of them."""
-    at = np.flatnonzero(sieve[(words & np.uint64((1 << SIEVE) - 1)).astype(np.int64)])
-    which = np.minimum(np.searchsorted(q["known"], words[at]), len(q["known"]) - 1)
-    ok = q["known"][which] == words[at]
-    at, which = at[ok], which[ok]
-    doc = np.searchsorted(bounds, at, side="right") - 1
-    many = q["starts"][which + 1] - q["starts"][which]
-    total = np.cumsum(many)
-    lo = 0
-    while lo < len(at):  # whole documents, of a bounded number of places unless one has more
-        hi = int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, side="right"))
-        if hi < len(at):
-            start = int(np.searchsorted(doc, doc[hi]))
-            hi = start if start > lo else int(np.searchsorted(doc, doc[lo], side="right"))
-        m = many[lo:hi]
-        nth = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-        item = q["owners"][np.repeat(q["starts"][which[lo:hi]], m) + nth]
-        place, d = np.repeat(at[lo:hi], m), np.repeat(doc[lo:hi], m)
-        order = np.lexsort((place, item, d))
-        item, place, d = item[order], place[order], d[order]
-        first = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (item[1:] != item[:-1])))
-        end = np.repeat(np.append(first[1:], len(d)), np.diff(first, append=len(d)))
-        last = np.arange(len(d)) + q["held"][item] - 1
-        near = (last < end) & (place[np.minimum(last, len(d) - 1)] - place < q["span"][item])
-        for a in first[np.logical_or.reduceat(near, first)].tolist():
-            yield int(d[a]), int(item[a]), place[a : end[a]].tolist()
-        lo = hi
+def _near(words: np.ndarray, rare: np.ndarray, q: dict) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(first words of windows, items, words of a window) where the cosine is COSINE or more.
+
+    Windows of each number of steps begin a quarter of their length apart, so one is never further
+    than an eighth from a passage. Cosines are exact, in blocks of windows by all items of that
+    length. Windows that can't pass the answer check of any of these items, as too few answer
+    words of any item (``rare``, summed up) stand in or by them, are left out.
+    """
+    longest = max(q["sought"], default=0)
+    steps = len(words) // STEP + 1  # the last one may be short
+    per = max(SLICE // 4 // STEP, 4 * longest)
+    for lo in range(0, steps if longest else 0, per):
+        sums = None
+        for m, (own, vectors, room, held) in q["sought"].items():
+            apart = max(1, m // 4)
+            at = np.arange(lo + -lo % apart, min(steps, lo + per), apart)
+            first, last = np.maximum(at * STEP - room, 0), np.minimum((at + m) * STEP + room, len(words))
+            at = at[rare[np.maximum(first, last)] - rare[first] >= held] - lo
+            if not len(at):
+                continue
+            if sums is None:
+                part = words[lo * STEP : (lo + per + longest) * STEP]
+                terms = np.full(-(-len(part) // STEP) * STEP, TERMS)  # the row of a word that isn't there is zero
+                terms[: len(part)] = part % np.uint64(TERMS)
+                sums = np.zeros((len(terms) // STEP + 1, RANK))
+                np.cumsum(sum(q["space"][terms[j::STEP]] for j in range(STEP)), axis=0, out=sums[1:])
+            z = (sums[np.minimum(at + m, len(sums) - 1)] - sums[np.minimum(at, len(sums) - 1)]).astype(np.float32)
+            z *= (1 / np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-9))[:, None]
+            rows = max(1, SLICE * 64 // len(own))
+            for a in range(0, len(at), rows):
+                w, x = np.divmod(np.flatnonzero(z[a : a + rows] @ vectors.T >= COSINE), len(own))
+                for c in range(0, len(w), SLICE * 4):
+                    yield (at[a + w[c : c + SLICE * 4]] + lo) * STEP, own[x[c : c + SLICE * 4]], m * STEP
+
+
+def _candidates(words: np.ndarray, bounds: np.ndarray, q: dict, sieve: np.ndarray) -> list[tuple[int, int]]:
+    """(document, item) where a window near the item in the latent space has enough of its answer words in or by it."""
+    rare = np.append(0, np.cumsum(sieve[(words & np.uint64((1 << SIEVE) - 1)).astype(np.int64)]))
+    found = []
+    for at, item, size in _near(words, rare, q):
+        doc = np.searchsorted(bounds, np.minimum(at + size // 2, len(words) - 1), side="right") - 1
+        room = q["span"][item] // 2
+        lo, hi = np.maximum(at - room, bounds[doc]), np.minimum(at + size + room, bounds[doc + 1])
+        ok = np.flatnonzero(rare[hi] - rare[lo] >= q["held"][item])
+        for a in range(0, len(ok), SLICE // 8):
+            part = ok[a : a + SLICE // 8]
+            i, first, last = item[part], lo[part], hi[part]
+            inside = first[:, None] + np.arange(int((last - first).max()))
+            text = np.where(inside < last[:, None], words[np.minimum(inside, len(words) - 1)], np.uint64(0))
+            held = sum(((text == q["listed"][i, j][:, None]).any(axis=1) & ~(q["listed"][i, :j] == q["listed"][i, j][:, None]).any(axis=1)).astype(np.int64) for j in range(ANSWER))
+            part = part[held >= q["held"][i]]
+            found.append((doc[part] << 32) | item[part])
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return list(zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), strict=True))
 
 
 def _ranges(words: np.ndarray, places: list[int], held: int, span: int) -> list[list[int]]:
@@ -215,13 +303,14 @@ def _search(query):
         lengths = np.array([len(w) for w in q["words"]], np.int64)
         wheres: dict[int, dict[int, int]] = {}
         sieve = np.zeros(1 << SIEVE, bool)
-        sieve[(q["known"] & np.uint64((1 << SIEVE) - 1)).astype(np.int64)] = True
+        sieve[(q["listed"].ravel() & np.uint64((1 << SIEVE) - 1)).astype(np.int64)] = True
         for b in batches:
             words, bounds = word_hashes(b.column("text"), NOT_ALNUM)
             best: dict[tuple[int, int], tuple[int, float]] = {}
-            for d, k, places in _candidates(words, bounds, q, sieve) if len(q["known"]) else ():
+            for d, k in _candidates(words, bounds, q, sieve):
                 if k not in wheres:
                     wheres[k] = _places(q["words"][k].tolist())
+                places = (np.flatnonzero(np.isin(words[bounds[d] : bounds[d + 1]], q["listed"][k])) + bounds[d]).tolist()
                 got = _best(words, int(bounds[d]), int(bounds[d + 1]), places, k, q, wheres[k])
                 if got:
                     best[d, k] = got
@@ -237,48 +326,38 @@ def _search(query):
                 rows = sorted(best.items())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column("doc_id").take(pa.array([d for (d, _), _ in rows])),
+                        *(b.column(c).take(pa.array([d for (d, _), _ in rows])) for c in ("doc_id", "key")),
                         pa.array([q["ids"][k] for (_, k), _ in rows], pa.int64()),
                         pa.array([c for _, (c, _) in rows], pa.int64()),
                         pa.array([int(lengths[k]) for (_, k), _ in rows], pa.int64()),
                         pa.array([h for _, (_, h) in rows], pa.float64()),
                     ],
-                    ["doc_id", "item_id", "common_words", "item_words", "answer_share"],
+                    ["doc_id", "key", "item_id", "common_words", "item_words", "answer_share"],
                 )
 
     return run
 
 
-FOUND = "doc_id long, item_id long, common_words long, item_words long, answer_share double"
+FOUND = "doc_id long, key binary, item_id long, common_words long, item_words long, answer_share double"
 
 
-def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, common_words, item_words, answer_share, score): documents that hold an item.
+def passage_counts(docs: DataFrame) -> np.ndarray:
+    """Passages that hold each term."""
+    return fit_space(docs)[0]
 
-    Texts are runs of letters and digits, A to Z lower-cased. A passage has as many words as the
-    item and half of that (and two) more, for words that were put in. It holds the item when its
-    longest common subsequence of words has ``COMMON`` of the item's words (score is that share)
-    and ``ANSWERED`` of the item's rarest words stand in it. All passages that do are found: those
-    with enough of the rarest words come from an index on these words, whatever else they hold,
-    and the greatest common subsequence of them counts. Items of no more than
-    ``ANSWER`` words are all answer and are found where all their words stand in a row.
-
-    One row per row of ``docs`` and item. Null or empty texts hold nothing; null or empty items
-    are in nothing. Items are searched for in blocks of ITEM_WORDS words, a pass over the
-    documents each, so what is broadcast is bounded however many there are. No shuffle but the
-    one of the terms' fixed-size sums.
-    """
+
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """FOUND for ``docs`` (doc_id, key, text)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = passage_counts(docs)
+    counts, space = fit_space(docs)
     out = None
     block: list[tuple[int, np.ndarray]] = []
     size = 0
 
     def flush() -> None:
         nonlocal out, block, size
-        found = docs.mapInArrow(_search(spark.sparkContext.broadcast(_queries(block, counts))), FOUND)
+        found = docs.mapInArrow(_search(spark.sparkContext.broadcast(_queries(block, counts, space))), FOUND)
         out = found if out is None else out.unionByName(found)
         block, size = [], 0
 
@@ -292,12 +371,43 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             flush()
     if block or out is None:
         flush()
-    return out.withColumn("score", F.col("common_words") / F.col("item_words"))
+    return out
+
+
+def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, common_words, item_words, answer_share, score): documents that hold an item.
+
+    Texts are runs of letters and digits, A to Z lower-cased. Windows of every whole document, as
+    long as an item (to two binary places), are placed in the latent space of ``fit_space`` and
+    compared with the item by exact cosines in blocks; those of COSINE or more that have
+    ``ANSWERED`` of the item's rarest words in or by them are candidates (windows with too few
+    rare words of any item, which can't pass that, are not compared). A document holds the
+    item when a passage of it does: its longest common subsequence of words has ``COMMON`` of the
+    item's words (score is that share) and ``ANSWERED`` of its rarest words stand in it. A passage
+    has as many words as the item and half of that (and two) more, for words that were put in; the
+    greatest common subsequence of a document's passages counts. Items of no more than ``ANSWER``
+    words are all answer and are found where all their words stand in a row.
+
+    One row per row of ``docs`` and item, so rows that repeat a doc_id, or have none, are searched
+    each for itself. Null or empty texts hold nothing; null or empty items, and items without an
+    id, are in nothing. Other columns are ignored. Items are searched for in blocks of ITEM_WORDS
+    words, a pass over the documents each, so what is broadcast is bounded however many there are.
+    No shuffle but the one of the space's fixed-size sums.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("key"), "text")
+    return _found(docs, items).drop("key").withColumn("score", F.col("common_words") / F.col("item_words"))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold an item; all columns stay."""
-    return without(docs, saved(find_leaks(docs, items).select("doc_id").distinct(), "leaks"), ["doc_id"])
+    """``docs`` without the rows whose text holds an item; all columns stay.
+
+    A row is known by its doc_id and its text, so other rows of the same id, or of no id, stay.
+    """
+    key = {"__helix_id": F.col("doc_id").cast("long"), "__helix_key": F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))}
+    keyed = docs.withColumns(key)
+    rows = keyed.select(F.col("__helix_id").alias("doc_id"), F.col("__helix_key").alias("key"), "text")
+    leaks = _found(rows, items).select(F.col("doc_id").alias("__helix_id"), F.col("key").alias("__helix_key")).distinct()
+    return without(keyed, saved(leaks, "leaks"), list(key)).drop(*key)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,22 @@ def test_one_of_each_class_stays(edge_docs, edge_rows):
     assert kept.columns == edge_docs.columns
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids == sorted({str(i) for i, _, c in want(edge_rows) if i == c})
+
+
+def test_only_linked_rows_of_an_id_go(spark):
+    """Rows are known by doc_id and text: one id on several texts, null ids, and a linked row beside an unlinked one."""
+    text = prose(40, 80)
+    rows = [
+        (1, prose(41, 60)), (1, prose(42, 60)), (None, prose(43, 60)), (None, prose(44, 60)), (3, text),
+        (4, text + " more"), (4, prose(45, 50)), (None, text + " other"), (5, ""), (5, None), (6, prose(46, 30)), (6, prose(46, 30)),
+    ]
+    kept = jaccard.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [*rows[:5], rows[6], rows[8], rows[10]]
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_subsets_in_blocks(monkeypatch):
+    monkeypatch.setattr(jaccard, "SUBSETS", 7)
+    blocks = list(jaccard._subsets(9, 4))
+    assert max(map(len, blocks)) == 7 and len({tuple(r) for b in blocks for r in b.tolist()}) == math.comb(9, 4)
