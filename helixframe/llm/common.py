@@ -84,18 +84,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bits of the map that says which rows may be among some keys: 16 MB at most, however many keys there are.
+MAP_BITS = 1 << 27
+
+
+def _equal(docs: DataFrame, keys: list[str], other: DataFrame):
+    return reduce(lambda a, b: a & b, [docs[k].eqNullSafe(other[f"__helix_by_{k}"]) for k in keys])
+
+
+def split_by(docs: DataFrame, found: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of ``docs`` whose ``keys`` aren't in ``found``, rows whose keys may be, and ``found`` to join the latter with.
+
+    A bit map of the keys' hashes, of fixed size, tells them apart, so only the latter need move.
+    With more keys than it has bits all may be among them, and all move.
+    """
+    f = found.select(*(F.col(k).alias(f"__helix_by_{k}") for k in keys)).distinct()
+    bit = lambda names: F.pmod(F.xxhash64(*names), F.lit(MAP_BITS)) + 1
+    maps = (
+        f.select(bit([f"__helix_by_{k}" for k in keys]).alias("b"))
+        .groupBy(F.bitmap_bucket_number("b").alias("__helix_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("__helix_map"))
+    )
+    place = F.bitmap_bit_position(bit(keys))
+    byte = F.conv(F.hex(F.substr("__helix_map", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.expr("shiftright(__helix_byte, cast(__helix_place % 8 as int)) & 1") == 1, F.lit(False))
+    told = (
+        docs.withColumn("__helix_bucket", F.bitmap_bucket_number(bit(keys))).join(F.broadcast(maps), "__helix_bucket", "left")
+        .withColumns({"__helix_byte": byte, "__helix_place": place}).withColumn("__helix_hit", hit)
+    )
+    return (
+        told.where("not __helix_hit").select(*docs.columns),
+        told.where("__helix_hit").select(*docs.columns),
+        f,
+    )
+
+
 def without(docs: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``docs`` whose ``keys`` aren't in ``dropped``; nulls are equal to each other."""
-    d = dropped.select(*(F.col(k).alias(f"__helix_by_{k}") for k in keys)).distinct()
-    same = reduce(lambda a, b: a & b, [docs[k].eqNullSafe(d[f"__helix_by_{k}"]) for k in keys])
-    return docs.join(d, same, "left_anti")
+    """Rows of ``docs`` whose ``keys`` aren't in ``dropped``; nulls are equal to each other. Few others move."""
+    others, perhaps, d = split_by(docs, dropped, keys)
+    return others.unionByName(perhaps.join(d, _equal(perhaps, keys, d), "left_anti"))
 
 
-def one_each(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """``docs`` with one row for each value of ``keys``; only rows that repeat a value move."""
-    repeated = saved(docs.groupBy(*keys).agg(F.count("*").alias("__helix_rows")).where("__helix_rows > 1").drop("__helix_rows"), "repeated")
+def one_each(docs: DataFrame, repeated: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` with one row for each value of ``keys`` in ``repeated``; few others move."""
     if not repeated.limit(1).count():
         return docs
-    r = repeated.select(*(F.col(k).alias(f"__helix_by_{k}") for k in keys))
-    same = reduce(lambda a, b: a & b, [docs[k].eqNullSafe(r[f"__helix_by_{k}"]) for k in keys])
-    return without(docs, repeated, keys).unionByName(docs.join(r, same, "left_semi").dropDuplicates(keys))
+    others, perhaps, r = split_by(docs, repeated, keys)
+    same = perhaps.join(r, _equal(perhaps, keys, r), "left_semi").dropDuplicates(keys)
+    return others.unionByName(perhaps.join(r, _equal(perhaps, keys, r), "left_anti")).unionByName(same)

@@ -114,15 +114,20 @@ def mark_copies(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``mark_copies`` drops; all columns stay."""
-    keys = ["doc_id", "__helix_n", "__helix_sha256"]
+    """``docs`` without the rows that ``mark_copies`` drops; all columns stay.
+
+    A row is known by its doc_id, length and normalised text; of rows that repeat all three one stays.
+    """
+    keys = ["__helix_id", "__helix_n", "__helix_sha256"]
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumns({
-        "__helix_n": F.length(text).cast("long"), "__helix_sha256": F.sha2(F.regexp_replace(text, WHITE, ""), 256)
+        "__helix_id": F.col("doc_id").cast("long"), "__helix_n": F.length(text).cast("long"),
+        "__helix_sha256": F.sha2(F.regexp_replace(text, WHITE, ""), 256),
     })
-    marks = mark_copies(docs).select("doc_id", F.col("n_code_points").alias("__helix_n"), F.col("text_sha256").alias("__helix_sha256"), "kept")
-    lost = marks.groupBy(*keys).agg(F.max("kept").alias("kept")).where("not kept")
-    return one_each(without(keyed, saved(lost, "lost"), keys), keys).drop("__helix_n", "__helix_sha256")
+    marks = mark_copies(docs).select(*(F.col(c).alias(k) for c, k in zip(("doc_id", "n_code_points", "text_sha256"), keys, strict=True)), "kept")
+    rows = saved(marks.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).where("not kept or rows > 1"), "lost")
+    kept = without(keyed, rows.where("not kept"), keys)
+    return one_each(kept, rows.where("kept"), keys).drop(*keys)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -490,9 +490,11 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     best = placed.where("root is not null").groupBy("root").agg(F.min(row).alias("best"))
     lost = placed.join(best, "root").where(~row.eqNullSafe(F.col("best"))).select(F.col("doc_id").alias("__helix_id"), F.col("key").alias("__helix_key"))
     lost = saved(lost.distinct(), "lost")
+    rows = placed.groupBy(F.col("doc_id").alias("__helix_id"), F.col("key").alias("__helix_key")).agg(F.count("*").alias("rows"))
+    repeated = saved(rows.where("rows > 1").drop("rows"), "repeated")
     drop(placed)
     names = list(key)
-    return one_each(without(keyed, lost, names), names).drop(*names)
+    return one_each(without(keyed, lost, names), repeated, names).drop(*names)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,8 +64,13 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     turns is the prompt and is rendered once; what follows on either side is a completion, whose
     mask holds the character ranges that carry loss (assistants' turns). A null array is an empty
     one. ``usable`` is false where either completion holds no assistant's turn, as with equal
-    conversations. All other columns stay. Rows are worked on one by one: no shuffle.
+    conversations. All other columns stay, so ``pairs`` mustn't have one of the added names. Texts
+    are rendered as they are; a text that itself holds a mark such as <|end|> is in its own turn's
+    range all the same, since ranges are counted, not searched. Rows are worked on one by one: no shuffle.
     """
+    added = {"n_prompt_turns", "prompt", "chosen_text", "rejected_text", "chosen_mask", "rejected_mask", "usable"}
+    if clash := added & set(pairs.columns):
+        raise ValueError(f"columns that would be overwritten: {sorted(clash)}")
     empty = F.array().cast("array<struct<role:string,text:string>>")
     a, b = F.coalesce("chosen", empty), F.coalesce("rejected", empty)
     both = F.least(F.size(a), F.size(b))
@@ -88,11 +93,12 @@ def derived_pairs(conversations: DataFrame) -> DataFrame:
 
     Conversation 2i is chosen over one that shares its first half of turns (rounded down) and goes
     on with what conversation 2i + 1 has from there. A conversation without a partner is paired
-    with its own first half. Each turn moves once, and every conversation is used.
+    with its own first half. Each turn moves once, and every conversation with an id is used;
+    turns without one belong to none and are left out.
     """
     convs = conversation_turns(conversations)
     one = F.struct((F.col("conv_id") % 2).alias("side"), "conv_id", "turns")
-    both = convs.where("conv_id is not null").groupBy(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")).agg(F.array_sort(F.collect_list(one)).alias("c"))
+    both = convs.where("conv_id is not null").groupBy(F.shiftright(F.col("conv_id").cast("long"), 1).alias("pair_id")).agg(F.array_sort(F.collect_list(one)).alias("c"))
     left, right = F.element_at("c", 1), F.when(F.size("c") > 1, F.element_at("c", 2))
     half = F.floor(F.size(left["turns"]) / 2).cast("int")
     other = F.coalesce(right["turns"], F.array().cast("array<struct<role:string,text:string>>"))

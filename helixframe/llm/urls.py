@@ -49,14 +49,15 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     it first). Of the active entries the one with the longest
     pattern decides ("allow" beats "block" at equal length, then the smaller category). Returns
     capture_id, host, fetched, n_active, pattern, category, action and blocked; captures under no
-    entry keep nulls and blocked false, as do those with a null url or fetch day.
+    entry keep nulls and blocked false, as do those with a null url or fetch day. Each row of
+    ``captures`` gives one row, also where ids repeat or are null; other columns are left out.
 
     The join is an equi-join on the pattern with the interval as a further condition; a host with
     a third of all captures is a skewed key on the capture side only, which Spark splits, and the
     rows are of fixed small width.
     """
     host, path = url_parts(F.col("url"))
-    c = captures.select(F.col("capture_id").cast("long").alias("capture_id"), host.alias("host"), path.alias("path"), F.col("fetched").cast("date").alias("fetched"))
+    c = captures.select(F.monotonically_increasing_id().alias("row"), F.col("capture_id").cast("long").alias("capture_id"), host.alias("host"), path.alias("path"), F.col("fetched").cast("date").alias("fetched"))
     labels = F.split("host", r"\.")
     n = F.size(labels)
     domains = F.when(
@@ -71,7 +72,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
         deep >= 1,
         F.transform(F.sequence(F.lit(1), deep), lambda i: F.concat(F.col("host"), F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))),
     ).otherwise(F.array().cast("array<string>"))
-    keys = c.select("capture_id", "host", "fetched", F.explode_outer(F.array_distinct(F.concat(domains, prefixes))).alias("pattern"))
+    keys = c.select("row", "capture_id", "host", "fetched", F.explode_outer(F.array_distinct(F.concat(domains, prefixes))).alias("pattern"))
     k, e = keys.alias("k"), listed.alias("e")
     hits = k.join(
         e,
@@ -79,11 +80,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
         & (F.col("k.fetched") >= F.col("e.since"))
         & (F.col("e.until").isNull() | (F.col("k.fetched") < F.col("e.until"))),
         "left",
-    ).select("capture_id", "host", "fetched", "e.pattern", "e.category", "e.action")
+    ).select("row", "capture_id", "host", "fetched", "e.pattern", "e.category", "e.action")
     order = F.struct(
         (-F.length("pattern")).alias("n"), F.col("action"), F.col("category"), F.col("pattern")
     )
-    best = hits.groupBy("capture_id", "host", "fetched").agg(
+    best = hits.groupBy("row", "capture_id", "host", "fetched").agg(
         F.count("pattern").alias("n_active"), F.min(F.when(F.col("pattern").isNotNull(), order)).alias("best")
     )
     return best.select(

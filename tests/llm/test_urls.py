@@ -54,3 +54,11 @@ def test_deep_paths_and_capitals_in_paths(spark):
     assert got == {i: n for i, (_, n) in urls_of.items()}
     hosts = spark.createDataFrame([("host.com", "s", "block", D(0))], entries.schema)
     assert {r.capture_id for r in urls.filter_urls(captures, hosts).where("blocked").collect()} == {1, 2, 3, 4, 5, 6}
+
+
+def test_every_capture_has_a_row(spark):
+    rows = [(1, "http://a.com/x", "2024-05-01"), (1, "http://a.com/y/z", "2024-05-01"), (None, "http://a.com/y/z", "2024-05-01"), (None, "http://a.com", "2024-05-01")]
+    captures = spark.createDataFrame(rows, "capture_id long, url string, fetched string")
+    entries = spark.createDataFrame([("a.com/y/z", None, "block", "2024-01-01")], "pattern string, category string, action string, day string")
+    got = sorted((str(r.capture_id), r.blocked) for r in urls.filter_urls(captures, entries).collect())
+    assert got == [("1", False), ("1", True), ("None", False), ("None", True)]
