@@ -7,48 +7,19 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BASES = "ACGT"
 _UMI = re.compile(r"^(\d+)X$")
 
 
 def reverse_complement(seq: Column) -> Column:
-    """A with T and C with G, read backwards; N stays. Use ``is_sequence`` to reject other letters."""
-    return F.translate(F.reverse(seq), "ACGT", "TGCA")
+    """A with T and C with G, read backwards; N stays. Other letters fail the query."""
+    wrong = F.raise_error(F.concat(F.lit("not a DNA sequence: "), seq)).cast("string")
+    return F.when(is_sequence(seq) | seq.isNull(), F.translate(F.reverse(seq), "ACGT", "TGCA")).otherwise(wrong)
 
 
 def is_sequence(seq: Column) -> Column:
     return seq.rlike("^[ACGTN]*$")
 
 
-def is_barcode(seq: Column) -> Column:
-    return seq.rlike("^[ACGTacgt]+$")
-
-
-def edit_distance(a: Column, b: Column, most: int) -> Column:
-    """Levenshtein distance, or -1 beyond ``most``."""
-    return F.levenshtein(a, b, most)
-
-
-def hamming_distance(a: Column, b: Column) -> Column:
-    """Positions that differ, over the shorter of the two; null if the lengths differ."""
-    same = F.length(a) == F.length(b)
-    chars = lambda s: F.regexp_extract_all(s, F.lit("."), F.lit(0))
-    pairs = F.zip_with(chars(a), chars(b), lambda x, y: F.when(x == y, 0).otherwise(1))
-    return F.when(same, F.aggregate(pairs, F.lit(0), lambda acc, x: acc + x))
-
-
-def within(a: Column, b: Column, most: int, hamming: bool) -> Column:
-    if hamming:
-        return F.coalesce(hamming_distance(a, b) <= most, F.lit(False))
-    return edit_distance(a, b, most) >= 0
-
-
-def kmer(number: Column, length: int) -> Column:
-    """A number written in base 4 with the letters ACGT, lowest digit first."""
-    letter = lambda i: F.substring(F.lit(BASES), (F.floor(number / F.lit(4**i)) % 4 + 1).cast("int"), F.lit(1))
-    return F.concat(*(letter(i) for i in range(length)))
-
-
 def umi_length(header: str) -> int | None:
     """The length in a random element's column name, such as 10 for 10X."""
     found = _UMI.match(header)
@@ -59,19 +30,3 @@ def revcomp_text(s: str) -> str:
     if set(s) - set("ACGTN"):
         raise ValueError(f"not a DNA sequence: {s}")
     return s[::-1].translate(str.maketrans("ACGT", "TGCA"))
-
-
-def qgrams(seq: Column, q: int) -> Column:
-    """Structs (place, gram) of all substrings of length ``q`` without N."""
-    many = F.length(seq) - q + 1
-    grams = F.transform(
-        F.when(many > 0, F.sequence(F.lit(0), many - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(i.alias("place"), F.substring(seq, i + 1, F.lit(q)).alias("gram")),
-    )
-    return F.filter(grams, lambda g: ~F.contains(g["gram"], F.lit("N")))
-
-
-def qgram_size(length: int, edits: int) -> tuple[int, int]:
-    """The q of the positional q-gram filter, and how many grams must be shared."""
-    q = (length - edits) // (edits + 1)
-    return q, (length - q + 1) - edits * q

@@ -8,6 +8,7 @@ from functools import reduce
 from itertools import combinations
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,10 +75,13 @@ def clean_rows(lines: DataFrame, n_columns: int) -> DataFrame:
 
 
 def share_barcodes(rows: DataFrame, sharing: DataFrame, columns: Sequence[int]) -> DataFrame:
-    """Replaced barcodes become the kept ones, in the columns that ``sharing`` (position, retained, replaced) names."""
+    """Replaced barcodes become the kept ones, in the columns that ``sharing`` (position, retained, replaced) names.
+
+    A barcode that ``sharing`` replaces twice goes to the greater one, so no row is repeated.
+    """
     out = rows
     for i in columns:
-        one = sharing.where(F.col("position") == i).select(F.col("retained").alias("__to"), F.col("replaced").alias("__from"))
+        one = sharing.where(F.col("position") == i).groupBy(F.col("replaced").alias("__from")).agg(F.max("retained").alias("__to"))
         out = out.join(one, F.col(f"c{i}") == F.col("__from"), "left").withColumn(f"c{i}", F.coalesce("__to", f"c{i}")).drop("__to", "__from")
     return out
 
@@ -235,13 +239,14 @@ def annotation_columns(header: Sequence[str], roles: Roles) -> list[str]:
     return [f"ANNOTATION_BC:{header[i].removesuffix('.txt')}_COL:{i}" for i in roles.annotations]
 
 
-def count(rows: DataFrame, header: Sequence[str], config: CountConfig, dictionaries: Dictionaries) -> CountResult:
+def count(rows: DataFrame, header: Sequence[str], config: CountConfig, dictionaries: Dictionaries, keep: bool = False) -> CountResult:
     """Counts of positional rows (row_id, c0, c1, ...) under ``header``.
 
     counts: FEATURE_ID, SC_ID, FEATURE_COUNT and annotations; umis: UMI, FEATURE_ID, SC_ID,
     annotations, UMI_COUNT (empty without collapsing); histogram: UMI_AMPLIFICATION, AB, OCCURENCE;
     log: one row of totals. Two shuffles: by UMI and then by feature and cell; repeated reads are
-    added up before the first.
+    added up before the first. With ``keep`` the collapsed UMIs are kept on disk, so that writing
+    all tables works them out once; Spark works them out anew where an executor is lost.
     """
     roles = resolve_roles(header, config)
     k = len(roles.annotations)
@@ -261,8 +266,12 @@ def count(rows: DataFrame, header: Sequence[str], config: CountConfig, dictionar
         log = labelled.agg(F.count("*").alias("total_reads"), F.lit(0).cast("long").alias("removed_by_purity"), F.lit(0).cast("long").alias("umi_mismatches"))
         return CountResult(counts, umis, histogram, log)
     every = reads_per_umi(labelled, k)
+    if keep:
+        every = every.persist(StorageLevel.DISK_ONLY)
     pure = keep_pure(every, config.purity)
     kept = collapse(pure, config, k)
+    if keep:
+        kept = kept.persist(StorageLevel.DISK_ONLY)
     counts = kept.groupBy("feature", "sc_id").agg(F.count("*").alias("n"), *(F.min(f"a{i}").alias(f"a{i}") for i in range(k)))
     counts = counts.select(F.col("feature").alias("FEATURE_ID"), F.col("sc_id").alias("SC_ID"), F.col("n").alias("FEATURE_COUNT"), *titled)
     umis = kept.select(

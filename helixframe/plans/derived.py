@@ -6,6 +6,8 @@ only integer division and array indexing differ between the engines' dialects.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 LINKER = "GATTACAG"
@@ -83,3 +85,9 @@ def barcodes(n: int, base: int) -> tuple[str, ...]:
         return "".join("ACGT"[v // 4**i % 4] for i in range(8))
 
     return tuple(one(k) for k in range(n))
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new place for files of a query: below the checkpoint folder, or the warehouse where that is unset."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{found.rstrip('/')}/helixframe/{name}-{uuid.uuid4().hex}"

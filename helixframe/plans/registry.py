@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import align, seq
 from ..operators import annotate, count, demux, neighbours, qc, stats
+from ..operators.matching import MatchOptions
+from ..sources import files, sinks
 from . import derived
 from .pattern import Element, Kind, Pattern
 
@@ -35,6 +37,13 @@ PAIRED = [_pattern("PAIRED", FIRST, 0)]
 INDEPENDENT = [_pattern("INDEPENDENT", FIRST, 0, True)]
 
 
+REVERSE = [_pattern("REVERSE", FIRST, 1)]
+DNA = [Pattern("DNA", (*_pattern("DNA", FIRST, 0).elements[:3], Element(Kind.DNA, "DNA")))]
+STOPPED = [Pattern("STOP", (_list("BC1.txt", FIRST, 1), Element(Kind.STOP, "*"), _list("BC2.txt", SECOND, 0)))]
+TWO_EDITS = [Pattern("TWO", (_list("BC1.txt", FIRST, 2), Element(Kind.STOP, "*")))]
+HAMMING = MatchOptions(hamming=True)
+
+
 def _columns(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("read_id", *(F.col("barcodes")[i].alias(f"b{i}") for i in range(4)), *more)
 
@@ -43,6 +52,43 @@ def scan_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.reads(spark, sf_dir).select("read_id", "seq")
 
 
+def _records(seq_column: str):
+    return F.concat_ws("\n", F.concat(F.lit("@"), F.col("read_id").cast("string")), seq_column, F.lit("+"), F.expr(f"repeat('I', length({seq_column}))"))
+
+
+def _fastq(spark: SparkSession, reads: DataFrame, seq_column: str) -> str:
+    path = derived.work_path(spark, "fastq")
+    sinks.write_lines(reads.select(_records(seq_column).alias("value")), path)
+    return path
+
+
+def fastq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads written as FASTQ and read back."""
+    got = files.read_fastq(spark, _fastq(spark, derived.reads(spark, sf_dir), "seq"))
+    return got.select(F.col("name").cast("long").alias("read_id"), "seq", F.length("qual").cast("long").alias("n_qual"))
+
+
+def paired_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two FASTQ files of the same reads, zipped by record number."""
+    reads = derived.reads(spark, sf_dir).withColumn("seq_rv", seq.reverse_complement(F.col("seq")))
+    got = files.read_pairs(spark, _fastq(spark, reads, "seq"), _fastq(spark, reads, "seq_rv"))
+    return got.select(F.col("name").cast("long").alias("read_id"), "seq", "seq_rv")
+
+
+def txt_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = derived.work_path(spark, "txt")
+    sinks.write_lines(derived.reads(spark, sf_dir).select("seq"), path)
+    return files.read_txt(spark, path).select("seq")
+
+
+def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demultiplexed rows written in parts with headers and read back as counting does."""
+    path = derived.work_path(spark, "tsv")
+    sinks.write_tsv(demux.as_table(_single(spark, sf_dir), SINGLE, 0), path, demux.header(SINGLE[0]))
+    _, rows = files.read_demultiplexed(spark, path)
+    return rows.select(F.split("c0", "_")[0].cast("long").alias("read_id"), *(F.col(f"c{i + 1}").alias(f"b{i}") for i in range(4)))
+
+
 def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.reads(spark, sf_dir).select("read_id", seq.reverse_complement(F.col("seq")).alias("rc"))
 
@@ -123,6 +169,41 @@ def demux_independent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(demux.matched(demux.demultiplex(reads, INDEPENDENT, "independent")), "score")
 
 
+def demux_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(demux.matched(demux.demultiplex(derived.reads(spark, sf_dir), SINGLE, options=HAMMING)), "score")
+
+
+def _reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that don't overlap: the second barcode is corrected on the opposite strand."""
+    reads = derived.reads(spark, sf_dir)
+    reads = reads.withColumn("seq_rv", seq.reverse_complement(F.right("seq", F.lit(14)))).withColumn("seq", F.left("seq", F.lit(16)))
+    return demux.demultiplex(reads, REVERSE, "paired", HAMMING)
+
+
+def demux_reverse_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(demux.matched(_reversed(spark, sf_dir)), "score")
+
+
+def demux_reverse_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.failing_positions(_reversed(spark, sf_dir), REVERSE, True)
+
+
+def demux_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = derived.reads(spark, sf_dir).withColumn("qual", F.expr("repeat('I', length(seq))"))
+    return demux.matched(demux.demultiplex(reads, DNA)).select("read_id", "dna", F.length("dna_qual").cast("long").alias("n_qual"))
+
+
+def demux_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = demux.matched(demux.demultiplex(derived.reads(spark, sf_dir), STOPPED, options=HAMMING))
+    return rows.select("read_id", F.array_join("barcodes", ",").alias("barcodes"), "score")
+
+
+def two_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of equal lengths with two edits: tables first, then the nearest barcode by alignment."""
+    rows = demux.matched(demux.demultiplex(derived.reads(spark, sf_dir), TWO_EDITS))
+    return rows.select("read_id", F.col("barcodes")[0].alias("barcode"), "score")
+
+
 def variable_length_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists of barcodes of several lengths, which always go through the matcher."""
     mixed = tuple(b[: 6 + i % 3] for i, b in enumerate(FIRST))
@@ -251,7 +332,9 @@ NAMES = (
     "demux_single", "demux_failed", "demux_failing_position", "demux_summary", "mm_number", "mm_type", "demux_best_pattern",
     "demux_combined", "demux_paired", "demux_independent", "variable_length_match", "prefix_align", "cell_id", "feature_names",
     "annotations", "barcode_sharing", "umi_exact_count", "umi_purity", "reads_no_collapse", "umi_collapse_edit",
-    "umi_collapse_hamming", "umi_abundance", "umi_histogram", "count_log", "annotate_join", "umi_uniqueness",
+    "umi_collapse_hamming", "umi_abundance", "umi_histogram", "count_log", "annotate_join", "umi_uniqueness", "fastq_scan",
+    "paired_scan", "txt_scan", "tsv_scan", "demux_hamming", "demux_reverse_corrected", "demux_reverse_failing", "demux_dna",
+    "demux_stop", "two_edits",
 )
 QUERIES = {name: globals()[name] for name in NAMES}
 
@@ -302,16 +385,34 @@ def oracle_sql() -> dict[str, str]:
 
     heads = f"WITH reads AS ({reads}), w1 AS ({first}), w2 AS ({second}), {near('n1', 'w1')}, {near('n2', 'w2')}"
     looked = lambda e, i: f"{heads} {found('reads', '1', 'n1', 'w1', e, i, 'q.read_id')}"
-    single = f"""{heads},
-      one AS ({found('reads', '1', 'n1', 'w1', 1, True, 'q.read_id, q.seq')}),
+    def single_sql(indels: bool) -> str:
+        return f"""{heads},
+      one AS ({found('reads', '1', 'n1', 'w1', 1, indels, 'q.read_id, q.seq')}),
       cut AS (SELECT read_id, seq AS whole, barcode AS b0, insertions AS i0, deletions AS d0, substitutions AS s0, consumed,
                      substring(seq, consumed + 1, 8) = '{derived.LINKER}' AS linked,
                      substring(seq, consumed + 9, 6) AS b2, substring(seq, consumed + 15, 100) AS seq FROM one),
-      two AS ({found('cut', '1', 'n2', 'w2', 1, True, 'q.read_id, q.whole, q.b0, q.i0, q.d0, q.s0, q.linked, q.b2')}),
+      two AS ({found('cut', '1', 'n2', 'w2', 1, indels, 'q.read_id, q.whole, q.b0, q.i0, q.d0, q.s0, q.linked, q.b2')}),
       done AS (SELECT read_id, whole, b0, '{derived.LINKER}' AS b1, b2, barcode AS b3, i0, d0, s0, insertions AS i3, deletions AS d3,
                       substitutions AS s3, i0 + d0 + s0 + insertions + deletions + substitutions AS score,
                       CASE WHEN b0 IS NULL THEN 0 WHEN NOT linked THEN 1 WHEN barcode IS NULL THEN 3 ELSE -1 END AS fail
                FROM two)"""
+
+    single = single_sql(True)
+    # forward reads of 16 letters and reverse reads of 14, substitutions alone
+    flipped = f"""{heads},
+      one AS ({found('reads', '1', 'n1', 'w1', 1, False, 'q.read_id, q.seq AS whole, right(q.seq, 14) AS rest')}),
+      cut AS (SELECT read_id, barcode AS b0, substitutions AS s0, substring(whole, 9, 8) = '{derived.LINKER}' AS linked,
+                     translate(reverse(substring(rest, 1, 6)), 'ACGT', 'TGCA') AS b2, right(rest, 8) AS seq FROM one),
+      two AS ({found('cut', '1', 'n2', 'w2', 1, False, 'q.read_id, q.b0, q.s0, q.linked, q.b2')})"""
+    aligned = f"""{heads},
+      one AS ({found('reads', '1', 'n1', 'w1', 1, True, 'q.read_id, substring(q.seq, 1, 10) AS w, coalesce(s.ambiguous, false) AS amb')}),
+      d AS (SELECT w, w1.barcode, min(levenshtein(w1.barcode, substring(w, 1, CAST(n AS INT)))) AS dist
+            FROM (SELECT DISTINCT w FROM one WHERE barcode IS NULL AND NOT amb) AS o, w1, range(11) AS r(n) GROUP BY ALL),
+      m AS (SELECT *, min(dist) OVER (PARTITION BY w) AS least FROM d),
+      best AS (SELECT w, min(barcode) AS b, min(dist) AS dist FROM m WHERE dist = least AND dist <= 2 GROUP BY w HAVING count(*) = 1)
+      SELECT read_id, coalesce(barcode, b) AS barcode,
+             CAST(CASE WHEN barcode IS NOT NULL THEN insertions + deletions + substitutions ELSE dist END AS INTEGER) AS score
+      FROM one LEFT JOIN best ON best.w = one.w AND one.barcode IS NULL AND NOT one.amb WHERE coalesce(barcode, b) IS NOT NULL"""
     good = "SELECT * FROM done WHERE fail < 0"
     keys = f"""SELECT 0 AS p, barcode FROM w1 UNION ALL SELECT 3, barcode FROM w2"""
     shown = f"""keyed AS ({keys}), hits AS (
@@ -364,6 +465,21 @@ def oracle_sql() -> dict[str, str]:
     umi_rows = "SELECT r.u AS UMI, feature AS FEATURE_ID, sc_id AS SC_ID, r.total AS UMI_COUNT FROM kept"
     edit, hamming = "levenshtein(r.u, x[1].u) <= 1", "hamming(r.u, x[1].u) <= 1"
     return {
+        "fastq_scan": f"SELECT read_id, seq, length(seq) AS n_qual FROM ({reads}) AS r",
+        "paired_scan": f"SELECT read_id, seq, translate(reverse(seq), 'ACGT', 'TGCA') AS seq_rv FROM ({reads}) AS r",
+        "txt_scan": f"SELECT seq FROM ({reads}) AS r",
+        "tsv_scan": f"{single} SELECT read_id, b0, b1, b2, b3 FROM done WHERE fail < 0",
+        "demux_hamming": f"{single_sql(False)} SELECT read_id, b0, b1, b2, b3, score FROM done WHERE fail < 0",
+        "demux_reverse_corrected": f"{flipped} SELECT read_id, b0, '{derived.LINKER}' AS b1, b2, barcode AS b3, s0 + substitutions AS score"
+        " FROM two WHERE b0 IS NOT NULL AND barcode IS NOT NULL",
+        "demux_reverse_failing": f"{flipped}, f AS (SELECT CASE WHEN b0 IS NULL THEN 0 WHEN NOT linked THEN 1 END AS fw, CASE WHEN barcode IS NULL THEN 0 END AS rv"
+        " FROM two WHERE b0 IS NULL OR barcode IS NULL) SELECT 'REVERSE' AS PATTERN, CAST(i AS INTEGER) AS POSITION, 'FORWARD_READ' AS READ_DIRECTION,"
+        " (SELECT count(*) FROM f WHERE fw = i) AS COUNT FROM range(4) AS r(i)"
+        " UNION ALL SELECT 'REVERSE', CAST(i AS INTEGER), 'REVERSE_READ', (SELECT count(*) FROM f WHERE rv = i) FROM range(4) AS r(i)",
+        "demux_dna": f"{heads} SELECT read_id, substring(seq, 23) AS dna, length(substring(seq, 23)) AS n_qual"
+        f" FROM reads JOIN w1 ON barcode = substring(seq, 1, 8) WHERE substring(seq, 9, 8) = '{derived.LINKER}'",
+        "demux_stop": f"SELECT read_id, barcode AS barcodes, substitutions AS score FROM ({looked(1, False)}) AS x WHERE barcode IS NOT NULL",
+        "two_edits": aligned,
         "scan_reads": f"SELECT read_id, seq FROM ({reads}) AS r",
         "revcomp": f"SELECT read_id, translate(reverse(seq), 'ACGT', 'TGCA') AS rc FROM ({reads}) AS r",
         "wildcard_extract": f"SELECT read_id, substring(seq, 17, 6) AS umi FROM ({reads}) AS r",

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.seq import umi_length
 from ..operators import annotate as annotating
 from ..operators import count as counting
 from ..operators import demux, stats
@@ -40,8 +39,9 @@ def run_demultiplex(
     if write_failed:
         sinks.write_failed(demux.failed(reads, rows), f"{base}FailedLines")
     if write_stats:
-        sinks.write_tsv(stats.edit_counts(rows, patterns), f"{base}Quality_numberMM")
-        sinks.write_tsv(stats.edit_types(rows, patterns), f"{base}Quality_typeMM")
+        order = ["PATTERN", "POSITION", "BARCODE"]
+        sinks.write_tsv(stats.edit_counts(rows, patterns).orderBy(*order), f"{base}Quality_numberMM")
+        sinks.write_tsv(stats.edit_types(rows, patterns).orderBy(*order, "MISMATCH_TYPE"), f"{base}Quality_typeMM")
         if len(patterns) == 1:
             sinks.write_tsv(stats.failing_positions(rows, patterns, bool(reverse)), f"{base}Quality_failingBarcodePosition")
         sinks.write_tsv(stats.summary(rows), f"{base}summary")
@@ -78,7 +78,7 @@ def run_count(
     header, rows = files.read_demultiplexed(spark, path)
     columns = {*config.cells, *config.annotations, config.feature}
     dictionaries = load_dictionaries(spark, header, directory, sorted(columns), config.feature, feature_names, annotation_files, sharing)
-    result = counting.count(rows, header, config, dictionaries)
+    result = counting.count(rows, header, config, dictionaries, keep=True)
     write_counts(result, output, name)
     return result
 
@@ -124,15 +124,11 @@ def run_pipeline(spark: SparkSession, config: cfg.PipelineConfig) -> counting.Co
         config.hamming, config.purity, config.abundance, config.collapse, config.cell_as_string,
     )
     table = table.select(F.split("c0", "_")[0].cast("long").alias("row_id"), *table.columns)
-    result = counting.count(table, header, counted, counting.Dictionaries(lists, names, labels, shared))
+    result = counting.count(table, header, counted, counting.Dictionaries(lists, names, labels, shared), keep=True)
     write_counts(result, config.output, config.prefix or "output")
     return result
 
 
-def umi_columns(header: Sequence[str]) -> list[int]:
-    return [i for i, h in enumerate(header) if umi_length(h) is not None]
-
-
 def main(argv: Sequence[str]) -> None:
     """``python -m helixframe demultiplex|count|annotate|pipeline ...``"""
     spark = SparkSession.builder.appName("helixframe").getOrCreate()

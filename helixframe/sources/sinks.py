@@ -22,10 +22,6 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-
-
 def write_failed(reads: DataFrame, path: str) -> None:
     """Sequences of failed reads: one file, or FW and RV folders for pairs."""
     if "seq_rv" in reads.columns:

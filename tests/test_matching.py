@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from helixframe.functions.align import prefix_align, prefix_distances, within_distance
-from helixframe.functions.seq import qgram_size, revcomp_text
+from helixframe.functions.seq import revcomp_text
 from helixframe.operators.matching import Matcher, MatchOptions, PatternMatcher, best_match, indel_tables, substitution_table
 from helixframe.plans.pattern import Element, Kind, combined, conversion_rates, parse_patterns
 
@@ -165,7 +165,6 @@ def test_combined_lists_are_laid_end_to_end():
 
 def test_conversion_rates():
     assert conversion_rates(["AAAA", "AAAT", "CCCC"]) == {"AAAA": 1, "AAAT": 1, "CCCC": 4}
-    assert qgram_size(8, 1) == (3, 3)
 
 
 @given(dna)

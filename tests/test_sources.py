@@ -128,3 +128,50 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path):
     q.stop()
     got = sorted((r.read_id, r.barcodes) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted((r.read_id, r.barcodes) for r in demux.matched(demux.demultiplex(reads, ps)).collect())
+
+
+def test_fastq_in_splits_of_any_place(spark, tmp_path):
+    """Records are whole wherever splits begin, qualities may begin with @ or +, and the last line end may lack."""
+    reads = [(f"r{i} x", "ACGT"[i % 4] * (1 + i % 9), "@+I"[i % 3] * (1 + i % 9)) for i in range(200)]
+    text = "".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in reads)
+    (tmp_path / "a.fastq").write_text(text[: text.index("@r90")])
+    (tmp_path / "b.fastq").write_text(text[text.index("@r90") : -1])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("7", "64", "501", "100000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            if size == "7":  # splits of less than a record, over the first file's beginning
+                (tmp_path / "c.fastq").write_text(text[: text.index("@r9 ")])
+                got = sorted(tuple(r) for r in files.read_fastq(spark, str(tmp_path / "c.fastq")).collect())
+                assert got == [(i, f"r{i}", s, q) for i, (_, s, q) in enumerate(reads[:9])]
+                continue
+            df = files.read_fastq(spark, str(tmp_path / "[ab].fastq"))
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+            assert sorted(tuple(r) for r in df.collect()) == [(i, f"r{i}", s, q) for i, (_, s, q) in enumerate(reads)]
+            assert [r.line_no for r in files.numbered_lines(spark, str(tmp_path / "[ab].fastq")).orderBy("line_no").collect()] == list(range(800))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_count_reads_what_demultiplex_wrote_in_parts(spark, tmp_path):
+    p, m = setup(tmp_path)
+    reads = [(i, f"r{i}", s) for i, (_, s) in enumerate(READS * 5)]
+    ps = files.read_patterns(spark, p, m)
+    rows = demux.demultiplex(spark.createDataFrame(reads, "read_id long, name string, seq string").repartition(4), ps)
+    out = str(tmp_path / "t.tsv")
+    from helixframe.sources import sinks
+
+    sinks.write_tsv(demux.as_table(rows, ps, 0), out, demux.header(ps[0]))
+    header, back = files.read_demultiplexed(spark, out)
+    assert header == ["READNAME", "bc.txt", "AAAA", "4X"]
+    assert sorted(r.c0 for r in back.collect()) == sorted(r.c0 for r in demux.as_table(rows, ps, 0).collect()) and back.count() == 15
+    got = runs.run_count(spark, out, str(tmp_path / "counts"), str(tmp_path), counting(), name="x")
+    assert sorted((r.FEATURE_ID, r.SC_ID, r.FEATURE_COUNT) for r in got.counts.collect()) == [("ACGT", "0", 2), ("CCCC", "1", 1)]
+
+
+def counting():
+    from helixframe.operators.count import CountConfig
+
+    return CountConfig(1, [1], [3], abundance=0.0, umi_mismatches=0)
