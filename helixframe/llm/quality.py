@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, table
 from .texthash import mix, raw, shape_hashes, word_hashes
 
-#: Hashed terms.
-TERMS = 1 << 12
+#: Hashed terms of a kind (shapes of words, words), and of both.
+KIND = 1 << 12
+TERMS = 2 * KIND
+#: Weight of words beside shapes, whose part of a vector is of length 1.
+LEXICAL = 0.5
 #: Latent dimensions.
 RANK = 32
 #: Labelled rows that the classifier is fitted on, at most: those with the smallest hash of doc_id.
@@ -21,7 +24,7 @@ SAMPLE = 4096
 #: Neighbours that vote.
 NEIGHBOURS = 25
 #: Documents whose cosines with the sample are worked out at once.
-ROWS = 512
+ROWS = 256
 
 #: Bytes by kind: letters in lower case and all beyond ASCII, capitals, digits, white space, the rest each for itself.
 _KIND = np.arange(256, dtype=np.uint8)
@@ -37,9 +40,9 @@ _GAP[[10, 32]] = True
 def _counts(column: pa.Array) -> np.ndarray:
     """How often each term stands in each text: a row of TERMS for each.
 
-    Terms are the shapes of words (kinds of characters, runs of one kind taken as one), pairs of
-    adjoining shapes, and shapes of words that repeat the word before them. They say how a text is
-    written, whatever its language and however rare its words.
+    The first KIND terms are the shapes of words (kinds of characters, runs of one kind taken as
+    one), pairs of adjoining shapes, and shapes of words that repeat the word before them: how a
+    text is written. The others are its words, with A-Z in lower case: what it is about.
     """
     words, bounds = word_hashes(column)
     data, at = raw(column)
@@ -47,9 +50,11 @@ def _counts(column: pa.Array) -> np.ndarray:
     text = np.repeat(np.arange(len(column)), np.diff(bounds))
     pair = text[1:] == text[:-1]
     again = pair & (words[1:] == words[:-1])
-    terms = np.concatenate([shapes, mix(shapes[1:] * np.uint64(3) + shapes[:-1])[pair], mix(shapes[1:][again] + np.uint64(7))])
-    rows = np.concatenate([text, text[1:][pair], text[1:][again]])
-    flat = rows * TERMS + (terms % np.uint64(TERMS)).astype(np.int64)
+    written = np.concatenate([shapes, mix(shapes[1:] * np.uint64(3) + shapes[:-1])[pair], mix(shapes[1:][again] + np.uint64(7))])
+    place = lambda h: (h % np.uint64(KIND)).astype(np.int64)
+    terms = np.concatenate([place(written), place(mix(words + np.uint64(11))) + KIND])
+    rows = np.concatenate([text, text[1:][pair], text[1:][again], text])
+    flat = rows * TERMS + terms
     return np.bincount(flat, minlength=len(column) * TERMS).reshape(len(column), TERMS)
 
 
@@ -78,10 +83,11 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     x.column("doc_id"),
                     x.column("label"),
+                    x.column("pick"),
                     pa.array([i.tolist() for i in at], pa.list_(pa.int64())),
                     pa.array([r[i].tolist() for r, i in zip(c, at, strict=True)], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "label", "terms", "counts"],
+                ["doc_id", "label", "pick", "terms", "counts"],
             )
 
 
@@ -89,11 +95,20 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF vectors of length 1: shapes and words each brought to one length, words weighing LEXICAL."""
+    x = np.log1p(counts.astype(np.float32)) * idf
+    x[:, :KIND] = _unit(x[:, :KIND])
+    x[:, KIND:] = _unit(x[:, KIND:]) * np.float32(LEXICAL)
+    return _unit(x)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RANK) -> dict:
     """Term weights over all of ``docs``, and labelled latent vectors of a bounded sample.
 
     ``labels`` (doc_id, label 0 or 1) names the rows to learn from; the ``sample`` of them with the
-    smallest hash of doc_id are used. The result is at most ``sample`` times ``rank`` numbers
+    smallest hash of doc_id are used; of several texts under one id the one with the smallest hash.
+    The result is at most ``sample`` times ``rank`` numbers
     besides the ``TERMS`` times ``rank`` basis, so it can be broadcast.
     """
     total = docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
@@ -107,16 +122,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RA
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
-        .mapInArrow(_sparse, "doc_id long, label int, terms array<long>, counts array<long>")
-        .dropDuplicates(["doc_id"])
+        .withColumn("pick", F.xxhash64("text"))
+        .mapInArrow(_sparse, "doc_id long, label int, pick long, terms array<long>, counts array<long>")
+        .groupBy("doc_id").agg(F.min(F.struct("pick", "label", "terms", "counts")).alias("one"))
+        .select("doc_id", "one.label", "one.terms", "one.counts")
         .toArrow()
         .sort_by("doc_id")
     )
     x = np.zeros((rows.num_rows, TERMS), np.float32)
     for i, (t, c) in enumerate(zip(rows.column("terms").to_pylist(), rows.column("counts").to_pylist(), strict=True)):
-        x[i, t] = np.log1p(c)
+        x[i, t] = c
     y = rows.column("label").to_numpy().astype(np.float32)
-    x = _unit(x * idf)
+    x = _weighted(x, idf)
     k = min(rank, *x.shape)
     # the basis from a randomised range of the sample's rows
     rng = np.random.default_rng(7)
@@ -140,8 +157,7 @@ def _score(model, neighbours: int, name: str):
         for b in batches:
             out = np.zeros(b.num_rows)
             for i in range(0, b.num_rows, ROWS):
-                x = np.log1p(_counts(b.column("text").slice(i, ROWS)).astype(np.float32)) * m["idf"]
-                z = _unit(x @ m["basis"])
+                z = _unit(_weighted(_counts(b.column("text").slice(i, ROWS)), m["idf"]) @ m["basis"])
                 if not k:
                     out[i : i + ROWS] = prior
                     continue
