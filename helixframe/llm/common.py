@@ -19,13 +19,16 @@ _made: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (local mode, tests) a folder below the warehouse is used.
+    Only where that is unset, in local mode as in tests, a folder below the warehouse is used; a
+    cluster must name one, since its warehouse may be a folder of the driver's machine.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 

@@ -1,3 +1,7 @@
+from types import SimpleNamespace
+
+import pytest
+
 from helixframe.llm import common
 
 
@@ -12,3 +16,16 @@ def test_rows_are_told_apart_whatever_the_map(spark, monkeypatch):
         one = common.one_each(docs, keys, ["a", "b"]).collect()
         assert len(one) == 70 - 2 and {(r.a, r.b) for r in one} == {(r.a, r.b) for r in docs.collect()}
         assert common.without(docs, keys.limit(0), ["a", "b"]).count() == 70
+
+
+def test_work_tables_never_go_to_one_machine_of_a_cluster():
+    def session(master, conf):
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
+
+    here = {"spark.sql.warehouse.dir": "/tmp/w/"}
+    assert common.shared_dir(session("local[8]", here)) == "/tmp/w/_work" == common.shared_dir(session("local", here))
+    for master in ("spark://a:7077", "yarn", "local-cluster[3,2,1024]"):
+        assert common.shared_dir(session(master, here | {"spark.checkpoint.dir": "hdfs://a/b/"})) == "hdfs://a/b"
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(session(master, here))
