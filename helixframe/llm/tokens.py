@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, new_path, table
+from .common import bounded_batches, new_path, split_by, table
 
 #: Most distinct words whose counts one Python worker remembers.
 WORD_MEMO = 400_000
@@ -27,6 +27,20 @@ def tokenizer_digest(path: str) -> bytes:
         return hashlib.sha256(f.read()).digest()
 
 
+def drops_space(path: str) -> bool:
+    """Whether the tokenizer gives no token for ASCII white space and joins nothing across it."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    ids = lambda t: tok.encode(t, add_special_tokens=False).ids
+    spaces = ["\t", "\n", "\x0b", "\x0c", "\r", " "]
+    pieces = ["ka", "Lo,", "7", "(x)", "é"]
+    return all(
+        ids(a + gap + b) == ids(a) + ids(b) and ids(gap + a + gap) == ids(a) and not ids(gap)
+        for gap in [*spaces, "  ", "\r\n", "\n\n\t "] for a in pieces for b in pieces
+    )
+
+
 def _counter(path: str):
     """Counts by white-space-separated piece, remembered between batches of a worker.
 
@@ -84,16 +98,17 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_dir: str | None = N
     of a tokenizer that drops white space), digested with SHA-256, and looked up under (content
     digest, tokenizer digest) in the cache table at ``cache_dir``. Each distinct content that the
     cache lacks is encoded once; its count is appended to the cache, which later calls find there.
-    Without ``cache_dir`` the call starts a cache of its own.
+    Without ``cache_dir`` the call starts a cache of its own. Once the cache holds counts of this
+    tokenizer, missing digests are named first, and of the texts only theirs (told by a bit map of
+    fixed size) are moved.
 
     Needs columns doc_id and text; others are left out. A null text counts as empty: 0 tokens, 0
     bytes. Repeated rows each give a row. An empty table gives none. The tokenizer must be one
     that drops white space; ``count_tokens`` refuses others.
     """
     spark = docs.sparkSession
-    with open(tokenizer_path, "rb") as f:
-        if b'"pattern":{"Regex":"\\\\s+"}' not in f.read().replace(b" ", b""):
-            raise ValueError("the tokenizer must drop white space")
+    if not drops_space(tokenizer_path):
+        raise ValueError("the tokenizer must drop white space")
     bounded_batches(spark)
     cache_dir = cache_dir or new_path(spark, "token_cache")
     version = F.lit(tokenizer_digest(tokenizer_path))
@@ -106,9 +121,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_dir: str | None = N
     _make_cache(spark, cache_dir)
     cache = spark.read.schema(CACHE_SCHEMA).parquet(cache_dir).where(F.col("tokenizer") == version)
     known = cache.select("content")
+    texts = docs.select(F.unhex(F.sha2(F.regexp_replace(text, r"[\t-\r ]+", " "), 256)).alias("content"), text.alias("text"))
+    if known.limit(1).count():
+        lacking = seen.select("content").distinct().join(known, "content", "left_anti")
+        texts = split_by(texts, lacking, ["content"])[1]
     misses = (
-        docs.select(F.unhex(F.sha2(F.regexp_replace(text, r"[\t-\r ]+", " "), 256)).alias("content"), text.alias("text"))
-        .groupBy("content")
+        texts.groupBy("content")
         .agg(F.first("text").alias("text"))
         .join(known, "content", "left_anti")
     )

@@ -36,6 +36,23 @@ def test_the_cache_takes_only_misses(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 3
 
 
+def test_a_warm_cache_moves_only_missing_texts(spark, tmp_path, monkeypatch, edge_docs, edge_rows):
+    cache, moved = str(tmp_path / "cache"), []
+    split = tokens.split_by
+
+    def watched(docs, found, keys):
+        out = split(docs, found, keys)
+        moved.append(out[1].count())
+        return out
+
+    monkeypatch.setattr(tokens, "split_by", watched)
+    assert got(tokens.count_tokens(edge_docs, PATH, cache)) == want(edge_rows) and not moved
+    more = edge_rows + [(50, "new text"), (51, "new  text"), (None, None)]
+    docs = spark.createDataFrame(more, "doc_id long, text string")
+    assert got(tokens.count_tokens(docs, PATH, cache)) == want(more) and moved == [2]
+    assert got(tokens.count_tokens(docs, PATH, cache)) == want(more) and moved == [2, 0]
+
+
 def test_empty_table_and_other_tokenizers(no_docs):
     assert tokens.count_tokens(no_docs, PATH).count() == 0
     with pytest.raises(ValueError, match="white space"):
