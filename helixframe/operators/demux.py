@@ -21,6 +21,8 @@ OUTPUT = (
     + ", score int, dna string, dna_qual string, fail_fw int, fail_rv int"
 )
 _TYPE = pa.struct([("ins", pa.int32()), ("del", pa.int32()), ("sub", pa.int32())])
+_NAMES = ["read_id", "name", "pattern_idx", "barcodes", "edits", "score", "dna", "dna_qual", "fail_fw", "fail_rv"]
+_KINDS = [pa.int32(), pa.list_(pa.string()), pa.list_(_TYPE), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
 
 
 def _matched(patterns: Sequence[Pattern], options: MatchOptions, mode: str):
@@ -54,10 +56,8 @@ def _matched(patterns: Sequence[Pattern], options: MatchOptions, mode: str):
                     quality = of[len(of) - n :] if n else ""
                 for column, x in zip(out, (*got[:5], quality, *got[5:]), strict=True):
                     column.append(x)
-            kinds = [pa.int32(), pa.list_(pa.string()), pa.list_(_TYPE), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("read_id"), b.column("name"), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))],
-                ["read_id", "name", "pattern_idx", "barcodes", "edits", "score", "dna", "dna_qual", "fail_fw", "fail_rv"],
+                [b.column("read_id"), b.column("name"), *(pa.array(c, k) for c, k in zip(out, _KINDS, strict=True))], _NAMES
             )
 
     return run
@@ -93,45 +93,51 @@ def _static(elements: Sequence[Element]) -> list[tuple[Element, int]] | None:
     return out
 
 
-def _looked_up(reads: DataFrame, pattern: Pattern) -> DataFrame | None:
-    """``reads`` with barcodes, edits and ok: those whose elements all stand at their offsets.
+def _looked_up(reads: DataFrame, patterns: Sequence[Pattern]) -> DataFrame | None:
+    """``reads`` with pattern_idx, barcodes, edits and score, null where the lookup doesn't settle a read.
 
     Constants and random parts are substrings at fixed places; list elements are exact or one
-    substitution away, by one join each with the list's neighbourhood. ok is false where that
-    doesn't settle a read.
+    substitution away, by one join each with the list's neighbourhood. A pattern that doesn't match
+    so may still match with one edit or more, so the best of the others stands only if it is better
+    than that or, with one edit, comes first. None where elements have no fixed places or
+    neighbourhoods are too large.
     """
-    static = _static(pattern.elements)
-    lists = [e for e, _ in static or [] if e.kind is Kind.LIST]
-    if static is None or not static or sum(len(e.barcodes) * e.length * 4 * bool(e.max_edits) + len(e.barcodes) for e in lists) > MOST_KEYS:
+    static = [_static(p.elements) for p in patterns]
+    lists = [e for one in static for e, _ in one or [] if e.kind is Kind.LIST]
+    if not all(static) or sum(len(e.barcodes) * e.length * 4 * bool(e.max_edits) + len(e.barcodes) for e in lists) > MOST_KEYS:
         return None
-    spark, out = reads.sparkSession, reads
-    barcodes, edits, ok = [], [], F.lit(True)
+    out, found = reads, []
     zero = F.struct(*(F.lit(0).alias(c) for c in ("ins", "del", "sub")))
-    for i, (e, at) in enumerate(static):
-        part = F.substring(F.col("seq"), at + 1, e.length)
-        if e.kind is Kind.RANDOM:
-            barcodes.append(part)
-            edits.append(zero)
-            ok &= F.length("seq") >= at
-        elif e.kind is Kind.CONSTANT:
-            barcodes.append(F.lit(e.name))
-            edits.append(zero)
-            ok &= part == e.name
-        else:
-            rows = {b: (b, 0) for b in e.barcodes}
-            if e.max_edits:
-                rows = {k: (b, 1) for k, b in substitution_table(e.barcodes).items() if b} | rows
-            table = spark.createDataFrame(
-                [(k, b, n) for k, (b, n) in rows.items()], f"__key{i} string, __bc{i} string, __sub{i} int"
-            )
-            out = out.join(F.broadcast(table), part == F.col(f"__key{i}"), "left")
-            barcodes.append(F.col(f"__bc{i}"))
-            edits.append(F.struct(F.lit(0).alias("ins"), F.lit(0).alias("del"), F.col(f"__sub{i}").alias("sub")))
-            ok &= F.col(f"__bc{i}").isNotNull()
-    score = reduce(lambda a, b: a + b, [e["sub"] for e in edits])
-    return out.select(
-        *reads.columns, F.array(*barcodes).alias("barcodes"), F.array(*edits).alias("edits"), score.alias("score"),
-        F.coalesce(ok, F.lit(False)).alias("ok"),
+    for k, one in enumerate(static):
+        barcodes, edits, ok = [], [], F.lit(True)
+        for i, (e, at) in enumerate(one):
+            part = F.substring(F.col("seq"), at + 1, e.length)
+            if e.kind is Kind.RANDOM:
+                barcodes.append(part)
+                edits.append(zero)
+                ok &= F.length("seq") >= at
+            elif e.kind is Kind.CONSTANT:
+                barcodes.append(F.lit(e.name))
+                edits.append(zero)
+                ok &= part == e.name
+            else:
+                rows = {b: (b, 0) for b in e.barcodes}
+                if e.max_edits:
+                    rows = {w: (b, 1) for w, b in substitution_table(e.barcodes).items() if b} | rows
+                key, bc, sub = (f"__{c}{k}_{i}" for c in ("key", "bc", "sub"))
+                table = reads.sparkSession.createDataFrame([(w, b, n) for w, (b, n) in rows.items()], f"{key} string, {bc} string, {sub} int")
+                out = out.join(F.broadcast(table), part == F.col(key), "left")
+                barcodes.append(F.col(bc))
+                edits.append(F.struct(F.lit(0).alias("ins"), F.lit(0).alias("del"), F.col(sub).alias("sub")))
+                ok &= F.col(bc).isNotNull()
+        found.append((F.coalesce(ok, F.lit(False)), reduce(lambda a, b: a + b, [e["sub"] for e in edits]), F.array(*barcodes), F.array(*edits)))
+    bound = [F.when(ok, score).otherwise(1) for ok, score, *_ in found]
+    least = F.least(*bound) if len(bound) > 1 else bound[0]
+    first = F.coalesce(*(F.when(b == least, k) for k, b in enumerate(bound)))
+    settled = F.coalesce(*(F.when((F.col("__first") == k) & ok, k) for k, (ok, *_) in enumerate(found)))
+    of = lambda n: F.coalesce(*(F.when(F.col("pattern_idx") == k, one[n]) for k, one in enumerate(found)))
+    return out.withColumn("__first", first).withColumn("pattern_idx", settled).select(
+        *reads.columns, "pattern_idx", of(2).alias("barcodes"), of(3).cast(EDITS).alias("edits"), of(1).cast("int").alias("score")
     )
 
 
@@ -144,23 +150,23 @@ def demultiplex(reads: DataFrame, patterns: Sequence[Pattern], mode: str = "sing
     reads that no pattern matches), barcodes (of elements that give a column), edits of each,
     score, dna, dna_qual, and for failed reads under a single pattern the places that failed.
 
-    With one pattern and single reads, those whose elements are exact or one substitution away
-    are settled by joins with small tables. All others go through the matcher in Arrow batches;
-    both give the same rows. Nothing is shuffled.
+    Single reads whose elements are exact or one substitution away are settled by joins with small
+    tables, where all patterns' elements have fixed places, and never leave the JVM. All others go
+    through the matcher in Arrow batches; both give the same rows. Nothing is shuffled. The two
+    branches each scan ``reads``, which costs less than handing settled rows through Arrow.
     """
     options = options or MatchOptions()
     reads = _with_all_columns(reads)
+    quick = _looked_up(reads, patterns) if mode == "single" else None
     slow = _matched(list(patterns), options, mode)
-    quick = _looked_up(reads, patterns[0]) if mode == "single" and len(patterns) == 1 else None
     if quick is None:
         return reads.mapInArrow(slow, OUTPUT)
     null = lambda t: F.lit(None).cast(t)
-    done = quick.where("ok").select(
-        "read_id", "name", F.lit(0).alias("pattern_idx"), "barcodes", F.col("edits").cast(EDITS).alias("edits"),
-        F.col("score").cast("int").alias("score"), null("string").alias("dna"), null("string").alias("dna_qual"),
-        null("int").alias("fail_fw"), null("int").alias("fail_rv"),
+    done = quick.where("pattern_idx is not null").select(
+        "read_id", "name", "pattern_idx", "barcodes", "edits", "score", null("string").alias("dna"),
+        null("string").alias("dna_qual"), null("int").alias("fail_fw"), null("int").alias("fail_rv"),
     )
-    return done.unionByName(quick.where("not ok").select(*reads.columns).mapInArrow(slow, OUTPUT))
+    return done.unionByName(quick.where("pattern_idx is null").select(*reads.columns).mapInArrow(slow, OUTPUT))
 
 
 def matched(rows: DataFrame) -> DataFrame:

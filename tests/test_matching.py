@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from helixframe.functions.align import prefix_align, prefix_distances, within_distance
 from helixframe.functions.seq import revcomp_text
+from helixframe.operators import demux
 from helixframe.operators.matching import Matcher, MatchOptions, PatternMatcher, best_match, indel_tables, substitution_table
 from helixframe.plans.pattern import Element, Kind, combined, conversion_rates, parse_patterns
 
@@ -211,3 +212,35 @@ def test_long_lists_of_equal_length_are_aligned_like_short_ones(edits, indels):
     assert found > 50
     mixed = Element(Kind.LIST, "mixed.txt", edits, 0, (*listed, "ACGT"))
     assert Matcher(mixed, None, MatchOptions()).at(listed[0], 0) is None  # as in the reference
+
+
+def test_settled_reads_and_the_matcher_agree_under_several_patterns(spark):
+    """Reads with none to three edits under patterns that compete: the whole against the matcher alone."""
+    ps = patterns(
+        "P1:[last1.txt][3X][GGATT][last2.txt]\nP2:[last2.txt][3X][GGAT][last1.txt]\nP3:[last1.txt][3X][GGATT][last2.txt]",
+        "1,0,1,1\n1,0,0,1\n0,0,0,0",
+    )
+    rng, reads = random.Random(4), [(0, "n", None, None), (1, "n", "", ""), (2, None, "CCC", "III")]
+    lists = [e.barcodes for e in ps[0].elements if e.kind is Kind.LIST]
+    for k in range(3, 1500):
+        a, b = lists if rng.random() < 0.5 else lists[::-1]
+        read = list(rng.choice(a) + "".join(rng.choices("ACGT", k=3)) + rng.choice(("GGATT", "GGAT")) + rng.choice(b))
+        for _ in range(rng.choice((0, 0, 1, 2, 3))):
+            at = rng.randrange(len(read))
+            read[at] = rng.choice(("", "A", "C", "G", "T", read[at] + rng.choice("ACGT")))
+        seq = "".join(read) + "".join(rng.choices("ACGT", k=rng.randrange(3)))
+        reads.append((k, f"r{k}", seq, "I" * len(seq)))
+    df = spark.createDataFrame(reads, "read_id long, name string, seq string, qual string").repartition(3)
+    for some in (ps, ps[:1], ps[::-1], ps[1:]):
+        out = demux.demultiplex(df, some)
+        assert "Union" in out._jdf.queryExecution().toString()  # some are settled without the matcher
+        alone = [PatternMatcher(p, MatchOptions(), "single") for p in some]
+        got = {r.read_id: r for r in out.collect()}
+        assert len(got) == len(reads)
+        for k, _, seq, _ in reads:
+            i, m = best_match(alone, seq or "", "", "", "")
+            want = (i, [h.barcode for h in m.hits], m.score, [(h.insertions, h.deletions, h.substitutions) for h in m.hits]) if i >= 0 else (-1, None, None, None)
+            r = got[k]
+            assert (r.pattern_idx, r.barcodes, r.score, r.edits and [tuple(e) for e in r.edits]) == want, seq
+            assert r.fail_fw == (m.fail_fw if i < 0 else None)
+        assert {r.pattern_idx for r in got.values()} >= {-1, 0}
