@@ -84,8 +84,8 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     x.column("doc_id"),
                     x.column("label"),
                     x.column("pick"),
-                    pa.array([i.tolist() for i in at], pa.list_(pa.int64())),
-                    pa.array([r[i].tolist() for r, i in zip(c, at, strict=True)], pa.list_(pa.int64())),
+                    pa.array([i.tolist() for i in at], pa.list_(pa.int32())),
+                    pa.array([r[i].tolist() for r, i in zip(c, at, strict=True)], pa.list_(pa.int32())),
                 ],
                 ["doc_id", "label", "pick", "terms", "counts"],
             )
@@ -103,6 +103,42 @@ def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return _unit(x)
 
 
+class _Vectors:
+    """Weighted vectors of the sample's rows, held by their terms alone; ROWS of them at a time are spread out."""
+
+    def __init__(self, rows: pa.Table, idf: np.ndarray):
+        self.n = rows.num_rows
+        terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
+        self.at = np.append(0, np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+        self.terms = terms.flatten().to_numpy()
+        self.values = counts.flatten().to_numpy().astype(np.float32)
+        for i, dense in self._spread():
+            lo, hi = self.at[i], self.at[i + len(dense)]
+            self.values[lo:hi] = _weighted(dense, idf)[self._rows(i, len(dense)), self.terms[lo:hi]]
+
+    def _rows(self, i: int, n: int) -> np.ndarray:
+        return np.repeat(np.arange(n), np.diff(self.at[i : i + n + 1]))
+
+    def _spread(self) -> Iterator[tuple[int, np.ndarray]]:
+        for i in range(0, self.n, ROWS):
+            n = min(ROWS, self.n - i)
+            dense = np.zeros((n, TERMS), np.float32)
+            lo, hi = self.at[i], self.at[i + n]
+            dense[self._rows(i, n), self.terms[lo:hi]] = self.values[lo:hi]
+            yield i, dense
+
+    def times(self, q: np.ndarray) -> np.ndarray:
+        """The rows' products with the columns of ``q``."""
+        return np.concatenate([np.zeros((0, q.shape[1]), np.float32), *(x @ q for _, x in self._spread())])
+
+    def gram(self, q: np.ndarray) -> np.ndarray:
+        """The rows' Gram matrix over terms, times ``q``."""
+        out = np.zeros(q.shape, np.float32)
+        for _, x in self._spread():
+            out += x.T @ (x @ q)
+        return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RANK) -> dict:
     """Term weights over all of ``docs``, and labelled latent vectors of a bounded sample.
 
@@ -123,29 +159,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rank: int = RA
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .withColumn("pick", F.xxhash64("text"))
-        .mapInArrow(_sparse, "doc_id long, label int, pick long, terms array<long>, counts array<long>")
+        .mapInArrow(_sparse, "doc_id long, label int, pick long, terms array<int>, counts array<int>")
         .groupBy("doc_id").agg(F.min(F.struct("pick", "label", "terms", "counts")).alias("one"))
         .select("doc_id", "one.label", "one.terms", "one.counts")
         .toArrow()
         .sort_by("doc_id")
     )
-    x = np.zeros((rows.num_rows, TERMS), np.float32)
-    for i, (t, c) in enumerate(zip(rows.column("terms").to_pylist(), rows.column("counts").to_pylist(), strict=True)):
-        x[i, t] = c
     y = rows.column("label").to_numpy().astype(np.float32)
-    x = _weighted(x, idf)
-    k = min(rank, *x.shape)
+    x = _Vectors(rows, idf)
+    k = min(rank, x.n, TERMS)
     # the basis from a randomised range of the sample's rows
     rng = np.random.default_rng(7)
-    q = np.linalg.qr(x.T @ (x @ rng.standard_normal((TERMS, min(TERMS, k + 16)), dtype=np.float32)))[0] if k else None
+    q = np.linalg.qr(x.gram(rng.standard_normal((TERMS, min(TERMS, k + 16)), dtype=np.float32)))[0] if k else None
     for _ in range(3 if k else 0):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
+        q = np.linalg.qr(x.gram(q))[0]
     if k:
-        u, s, _ = np.linalg.svd((x @ q).T @ (x @ q))
+        z = x.times(q)
+        u, s, _ = np.linalg.svd(z.T @ z)
         basis = (q @ u[:, :k]).astype(np.float32)
     else:
         basis = np.zeros((TERMS, 1), np.float32)
-    return {"idf": idf, "basis": basis, "vectors": _unit(x @ basis), "labels": y}
+    return {"idf": idf, "basis": basis, "vectors": _unit(x.times(basis)), "labels": y}
 
 
 def _score(model, neighbours: int, name: str):
