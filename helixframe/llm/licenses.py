@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ TEMPLATES = {
 }
 #: Most templates that a call takes; beyond it they would be no small side any more.
 MAX_TEMPLATES = 10_000
+#: Most bytes that the broadcast prefix rows may hold; each carries its template's distinct tokens.
+MAX_PREFIX_BYTES = 64 << 20
 #: Share of a template's distinct tokens that a block must hold.
 CONTAINMENT = 0.8
 #: What stands between words (after lower-casing), line ends aside.
@@ -42,9 +45,13 @@ def template_tokens(spark: SparkSession, templates: dict[str, str], containment:
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    rows = []
+    rows, held = [], 0
     for label, text in templates.items():
         tokens = sorted(set(text.split()))
+        prefix = len(tokens) - math.ceil(containment * len(tokens) - 1e-9) + 1
+        held += prefix * sum(len(t.encode()) + 16 for t in tokens)
+        if held > MAX_PREFIX_BYTES:
+            raise ValueError(f"templates whose prefixes take more than {MAX_PREFIX_BYTES} bytes")
         most = math.ceil(len(text.split()) / containment - 1e-9)
         rows += [(label, len(tokens), math.ceil(containment * len(tokens) - 1e-9), most, t) for t in tokens]
     return spark.createDataFrame(rows, "label string, size int, need int, most int, token string")
@@ -127,7 +134,7 @@ def scan_licenses(
     templates = TEMPLATES if templates is None else templates
     least = min((math.ceil(containment * len(set(t.split())) - 1e-9) for t in templates.values()), default=1)
     tokens = sorted({t for x in templates.values() for t in x.split()})
-    known = "|".join(tokens)
+    known = "|".join(re.escape(t) for t in tokens)
     reach = math.ceil(max((len(t.split()) for t in templates.values()), default=1) / containment - 1e-9)
     clean = F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), GAP, " ")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean.alias("clean"))

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from helixframe.llm import licenses
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -87,3 +89,16 @@ def test_notices_that_wrap(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id in (3, 12)")
     blocks = {r.doc_id: {m.block for m in r.matches} for r in licenses.scan_licenses(docs, wrapped=True).collect()}
     assert blocks[12] == {0} and blocks[3] and max(blocks[3]) < 0
+
+
+def test_tokens_with_marks_of_patterns(spark):
+    df = spark.createDataFrame([(1, "plain licence words here"), (2, "cc licence words")], "doc_id long, text string")
+    rows = licenses.scan_licenses(df, {"odd": "(c plain licence words here", "plus": "c++ words"}).collect()
+    assert {r.doc_id: r.labels for r in rows} == {1: "odd", 2: ""}
+
+
+def test_templates_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "MAX_PREFIX_BYTES", 1000)
+    with pytest.raises(ValueError, match="1000 bytes"):
+        licenses.template_tokens(spark, {"long": " ".join(f"word{i}" for i in range(100))}, licenses.CONTAINMENT)
+    assert licenses.template_tokens(spark, {"mit": licenses.TEMPLATES["mit"]}, licenses.CONTAINMENT).count() == 5
