@@ -37,7 +37,7 @@ def run_demultiplex(
         if p.has_dna:
             sinks.write_lines(demux.as_fastq(rows.where(F.col("pattern_idx") == i)), f"{base}{p.name}.fastq")
     if write_failed:
-        sinks.write_failed(demux.failed(reads, rows), f"{base}FailedLines")
+        sinks.write_failed(demux.failed(rows, reads.columns), f"{base}FailedLines")
     if write_stats:
         order = ["PATTERN", "POSITION", "BARCODE"]
         sinks.write_tsv(stats.edit_counts(rows, patterns).orderBy(*order), f"{base}Quality_numberMM")

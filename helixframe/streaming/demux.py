@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.demux import demultiplex
+from ..operators.demux import READ, demultiplex
 from ..operators.matching import MatchOptions
 from ..plans.pattern import Pattern
 
@@ -22,6 +22,6 @@ def demultiplex_stream(reads: DataFrame, patterns: Sequence[Pattern], mode: str
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Matched rows appended to Parquet by pattern, once each."""
     return (
-        rows.where("pattern_idx >= 0").writeStream.format("parquet").partitionBy("pattern_idx")
+        rows.where("pattern_idx >= 0").drop(*READ).writeStream.format("parquet").partitionBy("pattern_idx")
         .option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start()
     )

@@ -244,3 +244,17 @@ def test_settled_reads_and_the_matcher_agree_under_several_patterns(spark):
             assert (r.pattern_idx, r.barcodes, r.score, r.edits and [tuple(e) for e in r.edits]) == want, seq
             assert r.fail_fw == (m.fail_fw if i < 0 else None)
         assert {r.pattern_idx for r in got.values()} >= {-1, 0}
+
+
+def test_failed_reads_as_they_came_where_ids_repeat_or_lack(spark):
+    ps = patterns("P:[last1.txt][3X][-][GGATT]", "0,0,0,0")
+    good = next(e for e in ps[0].elements if e.kind is Kind.LIST).barcodes[0] + "AAA"
+    reads = [
+        (1, "a", good, "I" * len(good), "GGATT", "JJJJJ"), (1, "a", "C", "K", "GGATT", "LLLLL"), (None, None, "G", None, None, None),
+        (None, "b", good, None, "GGATT", None), (2, "c", None, None, "A", "M"),
+    ]
+    df = spark.createDataFrame(reads, "read_id long, name string, seq string, qual string, seq_rv string, qual_rv string")
+    for mode in ("single", "independent"):
+        rows = demux.demultiplex(df, ps, mode)
+        assert sorted((tuple(r) for r in demux.failed(rows, df.columns).collect()), key=str) == sorted((reads[i] for i in (1, 2, 4)), key=str)
+        assert [tuple(r) for r in demux.matched(rows).select(*demux.READ).distinct().collect()] == [(None,) * 4]

@@ -45,7 +45,7 @@ def shared_ids(folder):
     return con
 
 
-@pytest.mark.parametrize("name", ["demux_best_pattern"])
+@pytest.mark.parametrize("name", ["demux_best_pattern", "demux_failed"])
 def test_same_rows_where_reads_share_an_id(spark, tmp_path, name):
     con = shared_ids(tmp_path)
     assert con.execute(f"SELECT count(*), count(DISTINCT read_id) FROM ({SQL['scan_reads']}) AS r").fetchone() == (150, 75)
